@@ -42,12 +42,6 @@ MIN_TAGS = 3
 MAX_TAGS = 5
 
 
-def keyword_table(df: DataFrame, keywords: dict[str, tuple[str, ...]] = KEYWORDS) -> DataFrame:
-    """(term, standardized_category) rows; as long as the keyword list."""
-    rows = [(term, category) for category, terms in keywords.items() for term in terms]
-    return df.sparkSession.createDataFrame(rows, "term string, standardized_category string")
-
-
 def term_counts(df: DataFrame, key: str, text: Column) -> DataFrame:
     """(key, term, tf) of every text. Repeated words are counted before the shuffle."""
     return (
@@ -70,10 +64,11 @@ def categorise(
     """
     tokens = texts.words(text)
     best, best_hits = F.lit("Unknown"), F.lit(0)
-    hits = {
-        name: F.size(F.filter(F.col("tokens"), lambda t, terms=terms: t.isin(*terms)))
-        for name, terms in keywords.items()
-    }
+
+    def count_of(terms: tuple[str, ...]) -> Column:
+        return F.size(F.filter(F.col("tokens"), lambda t: t.isin(*terms)))
+
+    hits = {name: count_of(terms) for name, terms in keywords.items()}
     for name in TAXONOMY:
         if name in hits:
             better = F.col(f"h_{name}") > best_hits

@@ -13,6 +13,12 @@ MODULES = (
     "payloads",
     "ingest",
     "features",
+    "models",
+    "scoring",
+    "baskets",
+    "report",
+    "enrichment",
+    "history",
 )
 
 QUERIES: dict[str, Query] = {}
