@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from shelfwise.functions import impute, prices, text
 from shelfwise.operators import contracts
 from shelfwise.schemas import SHOPIFY_PRODUCT, WOO_PRODUCT
+from shelfwise.session import checked_broadcast
 
 # The two platforms.
 PLATFORMS = ("shopify", "woocommerce")
@@ -190,7 +191,7 @@ def cap_rows(products: DataFrame, limit: int, store_order: DataFrame) -> DataFra
     )
     in_page = Window.partitionBy("store", "page").orderBy("pos", "product_id")
     return (
-        products.join(F.broadcast(first_pages), ["store", "page"])
+        products.join(checked_broadcast(first_pages), ["store", "page"])
         .withColumn("n", F.row_number().over(in_page))
         .where(F.col("n") <= limit)
         .where(F.col("before") + F.col("n") <= limit)
@@ -220,7 +221,7 @@ def ingest_summary(stores: DataFrame, products: DataFrame) -> DataFrame:
     """
     counts = products.groupBy("store").agg(F.count("*").alias("n"))
     known = F.col("platform").isin(*PLATFORMS)
-    joined = stores.join(counts, "store", "left").withColumn(
+    joined = stores.join(checked_broadcast(counts), "store", "left").withColumn(
         "ok", F.coalesce(known & (F.col("n") > 0), F.lit(False))
     )
     return joined.agg(

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from shelfwise.functions import text as texts
 from shelfwise.operators import contracts
+from shelfwise.operators.skew import join_split_hot
 from shelfwise.schemas import ENRICHED, PRODUCT, TAXONOMY
 from shelfwise.session import checked_broadcast, written
 
@@ -51,33 +52,31 @@ def term_counts(df: DataFrame, key: str, text: Column) -> DataFrame:
     )
 
 
-def categorise(
-    df: DataFrame,
-    key: str,
-    text: Column,
-    keywords: dict[str, tuple[str, ...]] = KEYWORDS,
+def add_category(
+    df: DataFrame, text: Column, keywords: dict[str, tuple[str, ...]] = KEYWORDS
 ) -> DataFrame:
-    """(key, standardized_category): the category with most keyword hits, else Unknown.
+    """Add standardized_category: the category with most keyword hits, else Unknown.
 
     Ties go to the category that comes first in the taxonomy. The score of a row needs
     only its own words, so this is a map: the keyword list is part of the expression.
     """
-    tokens = texts.words(text)
-    best, best_hits = F.lit("Unknown"), F.lit(0)
 
     def count_of(terms: tuple[str, ...]) -> Column:
         return F.size(F.filter(F.col("tokens"), lambda t: t.isin(*terms)))
 
-    hits = {name: count_of(terms) for name, terms in keywords.items()}
+    best, most = F.lit("Unknown"), F.lit(0)
     for name in TAXONOMY:
-        if name in hits:
-            better = F.col(f"h_{name}") > best_hits
-            best = F.when(better, F.lit(name)).otherwise(best)
-            best_hits = F.greatest(best_hits, F.col(f"h_{name}"))
-    counted = df.select(F.col(key), tokens.alias("tokens")).select(
-        key, *[h.alias(f"h_{n}") for n, h in hits.items()]
+        if name in keywords:
+            hits = F.col(f"hits_{name}")
+            best = F.when(hits > most, F.lit(name)).otherwise(best)
+            most = F.greatest(most, hits)
+    hit_columns = {f"hits_{name}": count_of(terms) for name, terms in keywords.items()}
+    return (
+        df.withColumn("tokens", texts.words(text))
+        .withColumns(hit_columns)
+        .withColumn("standardized_category", best)
+        .drop("tokens", *hit_columns)
     )
-    return counted.select(key, best.alias("standardized_category"))
 
 
 def term_weights(tf: DataFrame, key: str, rows: int, hot_share: float = 0.01) -> DataFrame:
@@ -124,19 +123,15 @@ def enrich_with_rules(products: DataFrame) -> DataFrame:
     ``products`` has unique product ids.
     """
     whole = product_text()
-    categories = categorise(products, "product_id", whole)
     found = tags(products, "product_id", whole)
+    listed = F.array_sort(F.collect_list(F.struct("rank", "tag")))
     grouped = found.groupBy("product_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "tag"))), lambda t: t["tag"]).alias(
-            "extracted_tags"
-        )
-    )
-    summary = texts.first_sentences(
-        F.coalesce(F.nullif(F.col("description"), F.lit("")), F.col("name"))
+        F.transform(listed, lambda t: t["tag"]).alias("extracted_tags")
     )
+    described = F.coalesce(F.nullif(F.col("description"), F.lit("")), F.col("name"))
     return (
-        products.withColumn("short_summary", summary)
-        .join(categories, "product_id")
+        add_category(products, whole)
+        .withColumn("short_summary", texts.first_sentences(described))
         .join(grouped, "product_id", "left")
         .withColumn(
             "extracted_tags", F.coalesce("extracted_tags", F.array().cast("array<string>"))
@@ -221,6 +216,6 @@ def usable_cache(cache: DataFrame) -> DataFrame:
 def split_by_cache(products: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cached records of the products, products still to enrich)."""
     good = usable_cache(cache)
-    hits = good.join(products.select("product_id"), "product_id", "left_semi")
-    misses = products.join(good.select("product_id"), "product_id", "left_anti")
+    hits = good.join(products.select("product_id").distinct(), "product_id", "left_semi")
+    misses = join_split_hot(products, good.select("product_id"), "product_id", "left_anti")
     return hits, misses

@@ -72,11 +72,14 @@ def coerce_numbers(df: DataFrame) -> DataFrame:
     )
 
 
-def fit_medians(df: DataFrame, direct_rows: int = DIRECT_ROWS) -> Medians:
+def fit_medians(
+    df: DataFrame, direct_rows: int = DIRECT_ROWS, rows: int | None = None
+) -> Medians:
     """Medians of rating and price over coerced rows; zero if a column is empty."""
     q = exact_quantiles(
         df,
         {"rating": (F.col("rating"), 0.5), "price": (F.col("price"), 0.5)},
+        rows=rows,
         direct_rows=direct_rows,
     )
     return Medians(q["rating"] or 0.0, q["price"] or 0.0)
@@ -114,7 +117,9 @@ def add_discount(df: DataFrame) -> DataFrame:
     )
 
 
-def fit_cuts(df: DataFrame, direct_rows: int = DIRECT_ROWS) -> Cuts:
+def fit_cuts(
+    df: DataFrame, direct_rows: int = DIRECT_ROWS, rows: int | None = None
+) -> Cuts:
     """The 70 % quantiles of the filled columns, never below their floors."""
     q = exact_quantiles(
         df,
@@ -123,6 +128,7 @@ def fit_cuts(df: DataFrame, direct_rows: int = DIRECT_ROWS) -> Cuts:
             "reviews": (F.col("review_count"), LABEL_QUANTILE),
             "discount": (F.col("discount_ratio"), LABEL_QUANTILE),
         },
+        rows=rows,
         direct_rows=direct_rows,
     )
     return Cuts(
@@ -160,17 +166,15 @@ def fallback_size(rows: int) -> int:
     return min(max(at_least, round(rows * 0.2)), rows - 1)
 
 
-def fit_fallback(df: DataFrame, cuts: Cuts) -> Fallback | None:
+def fit_fallback(df: DataFrame, cuts: Cuts, rows: int | None = None) -> Fallback | None:
     """Cut-off of the fallback label, or None when the rule already gives two classes.
 
     The wanted rows are a fifth of the table, so the cut-off is found by rank and the
     rows are labelled by comparing with it; nothing is sorted or gathered. Ties are
     ordered by a hash of the product id.
     """
-    counts = df.agg(
-        F.count("*").alias("n"), F.count_if(top_product_rule(cuts)).alias("positive")
-    ).first()
-    n, positive = counts["n"], counts["positive"]
+    n = df.count() if rows is None else rows
+    positive = df.agg(F.count_if(top_product_rule(cuts))).first()[0]
     if n <= 1 or 0 < positive < n:
         return None
     wanted = fallback_size(n)
@@ -193,18 +197,14 @@ def add_label(df: DataFrame, cuts: Cuts, fallback: Fallback | None = None) -> Da
     return df.withColumn("is_top_product", positive.cast("int"))
 
 
-def distinct_values(df: DataFrame, column: str, max_values: int = 1000) -> tuple[str, ...]:
-    """Sorted distinct values; fails if there are more than can become columns."""
-    rows = df.select(column).distinct().take(max_values + 1)
+def fit_vocabulary(df: DataFrame, max_values: int = 1000) -> Vocabulary:
+    """Sorted distinct values of both columns; fails if they are too many for columns."""
+    names = ("standardized_category", "stock_status")
+    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])
+    rows = df.select(F.explode(cells).alias("c")).select("c.*").distinct().take(max_values + 1)
     if len(rows) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values")
-    return tuple(sorted(r[0] for r in rows))
-
-
-def fit_vocabulary(df: DataFrame) -> Vocabulary:
-    return Vocabulary(
-        distinct_values(df, "standardized_category"), distinct_values(df, "stock_status")
-    )
+        raise ValueError(f"more than {max_values} categories and stock states")
+    return Vocabulary(*[tuple(sorted(r["value"] for r in rows if r["name"] == n)) for n in names])
 
 
 def one_hot(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -257,11 +257,16 @@ def fill(df: DataFrame, medians: Medians) -> DataFrame:
 
 
 def fit(df: DataFrame, direct_rows: int = DIRECT_ROWS) -> FeatureModel:
+    """Read ``df`` a few times, one small result each: give it as a table, not as a long
+    plan (see ``session.written``)."""
     contracts.require_columns(df)
-    medians = fit_medians(coerce_numbers(df), direct_rows)
+    rows = df.count()
+    medians = fit_medians(coerce_numbers(df), direct_rows, rows)
     filled = fill(df, medians)
-    cuts = fit_cuts(filled, direct_rows)
-    return FeatureModel(medians, cuts, fit_vocabulary(filled), fit_fallback(filled, cuts))
+    cuts = fit_cuts(filled, direct_rows, rows)
+    return FeatureModel(
+        medians, cuts, fit_vocabulary(filled), fit_fallback(filled, cuts, rows)
+    )
 
 
 def matrix_columns(df: DataFrame, exclude_leaky: bool = False) -> list[str]:

@@ -64,3 +64,37 @@ def promotions(products: DataFrame) -> DataFrame:
     return products.where("promotional_price < price").withColumn(
         "discount_ratio", (F.col("price") - F.col("promotional_price")) / F.col("price")
     )
+
+
+def density_outliers(
+    df: DataFrame, group: str, value: str, eps: float, min_points: int
+) -> DataFrame:
+    """Values with few others near them, as rows (group, value, rows, neighbours).
+
+    A value is dense if at least ``min_points`` rows of its group lie within ``eps`` of
+    it; an outlier is neither dense nor within ``eps`` of a dense value. Equal values
+    are counted first, then every value is compared inside cells of width ``eps`` with
+    those of the two cells beside it, so no task sees more than three cells.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(
+        F.count("*").alias("rows")
+    )
+    home = F.floor(F.col(value) / eps)
+    dense = _near(counted.withColumn("home", home), group, value, eps, "rows", "neighbours")
+    flagged = dense.withColumn("dense", (F.col("neighbours") >= min_points).cast("int"))
+    reached = _near(flagged, group, value, eps, "dense", "dense_near")
+    return reached.where("dense_near = 0").select(group, value, "rows", "neighbours")
+
+
+def _near(
+    cells: DataFrame, group: str, value: str, eps: float, weight: str, out: str
+) -> DataFrame:
+    """Add the sum of ``weight`` within ``eps``; ``home`` is the cell of the value."""
+    around = F.explode(F.sequence(F.col("home") - 1, F.col("home") + 1))
+    near = Window.partitionBy(group, "cell").orderBy(value).rangeBetween(-eps, eps)
+    return (
+        cells.withColumn("cell", around)
+        .withColumn(out, F.sum(weight).over(near))
+        .where(F.col("cell") == F.col("home"))
+        .drop("cell")
+    )

@@ -107,15 +107,19 @@ def exact_quantiles(
     df: DataFrame,
     wanted: dict[str, tuple[Column, float]],
     *,
+    rows: int | None = None,
     direct_rows: int = DIRECT_ROWS,
     bins: int = 2048,
 ) -> dict[str, float | None]:
-    """Quantiles with linear interpolation between neighbours; None for an empty column."""
+    """Quantiles with linear interpolation between neighbours; None for an empty column.
+
+    ``rows`` is the length of ``df`` if it is known already.
+    """
     values = _numbers(df, {n: c for n, (c, _) in wanted.items()})
-    profile = _profile(values)
-    if max(n for n, _, _ in profile.values()) <= direct_rows:
+    if (values.count() if rows is None else rows) <= direct_rows:
         row = values.agg(*[F.percentile(n, F.lit(q)).alias(n) for n, (_, q) in wanted.items()])
         return row.first().asDict()
+    profile = _profile(values)
     searches, places = [], {}
     for name, (_, q) in wanted.items():
         n, lo, hi = profile[name]

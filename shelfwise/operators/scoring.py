@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.session import checked_broadcast
+from shelfwise.session import checked_broadcast, pinned
 
 # Weights of the score, of the cluster quality, and the shortlist length.
 WEIGHTS = {
@@ -105,6 +105,7 @@ def attach_products(ranked: DataFrame, products: DataFrame) -> DataFrame:
     The product table is reduced to the listed ids first, so it is scanned but not
     shuffled, and the record carries its own price and rating, not the filled-in ones.
     """
+    ranked = pinned(ranked) or ranked
     ids = checked_broadcast(ranked.select("product_id"))
     reduced = products.join(ids, "product_id", "left_semi")
     scores = ranked.select("product_id", *[c for c in SCORE_COLUMNS if c in ranked.columns])

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators import catalog, contracts
+from shelfwise.session import checked_broadcast, written
 from shelfwise.sources import pages as page_source
 
 # Fixed value: products kept over all stores.
@@ -28,11 +29,14 @@ def ingest_pages(
     max_products: int | None = MAX_PRODUCTS,
     dedupe: bool = False,
 ) -> Catalogue:
-    """Products, set-aside rows and run summary. ``stores`` lists what should be there."""
-    wanted = stores.select("platform", "store")
-    checked = page_source.checked_products(pages).join(
-        wanted, ["platform", "store"], "left_semi"
-    )
+    """Products, set-aside rows and run summary. ``stores`` lists what should be there.
+
+    Payloads are parsed once: the checked products are written as a table, and all three
+    results read from it.
+    """
+    wanted = checked_broadcast(stores.select("platform", "store"))
+    chosen = pages.join(wanted, ["platform", "store"], "left_semi")
+    checked = written(page_source.checked_products(chosen), "checked-products")
     products = contracts.valid(checked)
     summary = catalog.ingest_summary(stores, products)
     if dedupe:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import baskets, report
+from shelfwise.operators.skew import join_split_hot
 from shelfwise.registry import query
 from shelfwise.registry.data import CATALOG, catalog, table
 from shelfwise.session import scratch_path
@@ -13,10 +14,11 @@ from shelfwise.sources import tables
 
 
 def order_items(spark: SparkSession, sf: str, item: str) -> DataFrame:
-    parts = table(spark, sf, "part", "p_partkey", item)
-    lines = table(spark, sf, "lineitem", "l_orderkey", "l_partkey").join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
+    parts = table(spark, sf, "part", "p_partkey", item).withColumnRenamed(
+        "p_partkey", "l_partkey"
     )
+    lines = table(spark, sf, "lineitem", "l_orderkey", "l_partkey")
+    lines = join_split_hot(lines, parts, "l_partkey", "inner")
     return baskets.basket_items(lines, "l_orderkey", item)
 
 

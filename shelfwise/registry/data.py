@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import features, models, scoring
+from shelfwise.session import written
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
@@ -57,6 +58,11 @@ def catalog(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, written once, for jobs that read it several times."""
+    return written(catalog(spark, sf), "catalog")
+
+
 CATALOG = """
 catalog as (
   select cast(p_partkey as varchar) as product_id, p_name as name, p_type as category,
@@ -114,7 +120,7 @@ labelled as (
 
 def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, features.FeatureModel]:
     """(filled and labelled products with their text columns, the fitted model)."""
-    df = catalog(spark, sf)
+    df = catalog_table(spark, sf)
     model = features.fit(df)
     return model.prepare(df), model
 

@@ -46,7 +46,7 @@ def _hits_sql(name: str) -> str:
 )
 def standardized_categories(spark, sf):
     docs = table(spark, sf, "documents", "doc_id", "text")
-    return enrichment.categorise(docs, "doc_id", F.col("text"), WORDS)
+    return enrichment.add_category(docs, F.col("text"), WORDS).drop("text")
 
 
 @query(

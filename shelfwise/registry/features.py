@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import features, quantiles, split
 from shelfwise.registry import query
-from shelfwise.registry.data import CATALOG, FILLED, catalog, prepared, table
+from shelfwise.registry.data import CATALOG, FILLED, catalog, catalog_table, prepared, table
 from shelfwise.schemas import TAXONOMY
 from shelfwise.session import scratch_path, written
 from shelfwise.sources import tables
@@ -73,7 +73,7 @@ def exact_quantiles(spark, sf):
     from cuts""",
 )
 def label_cuts(spark, sf):
-    df = catalog(spark, sf)
+    df = catalog_table(spark, sf)
     filled = features.fill(df, features.fit_medians(features.coerce_numbers(df)))
     c = features.fit_cuts(filled)
     row = [(round(c.rating, 9), round(c.reviews, 9), round(c.discount, 9))]
@@ -88,7 +88,7 @@ def label_cuts(spark, sf):
     from discounted""",
 )
 def filled_features(spark, sf):
-    df = catalog(spark, sf)
+    df = catalog_table(spark, sf)
     filled = features.fill(df, features.fit_medians(features.coerce_numbers(df)))
     return filled.select(
         "product_id",
@@ -151,7 +151,7 @@ ranked as (
 )
 def fallback_labels(spark, sf):
     """Only products that are not in stock: the rule gives them all the same label."""
-    df = catalog(spark, sf)
+    df = catalog_table(spark, sf)
     filled = features.fill(df, features.fit_medians(features.coerce_numbers(df)))
     cuts = features.fit_cuts(filled)
     rest = filled.where("stock_status <> 'in_stock'")
@@ -202,7 +202,7 @@ _MATRIX_SQL = ", ".join(
     f"with {FILLED} select {_MATRIX_SQL}, cast(review_count as double) as reviews from labelled",
 )
 def feature_matrix(spark, sf):
-    df = catalog(spark, sf)
+    df = catalog_table(spark, sf)
     return features.feature_matrix(features.fit(df).transform(df))
 
 
@@ -214,7 +214,7 @@ def feature_matrix(spark, sf):
     from labelled""",
 )
 def feature_table_round_trip(spark, sf):
-    df = catalog(spark, sf)
+    df = catalog_table(spark, sf)
     path = scratch_path(spark, "features")
     tables.write_features(features.fit(df).transform(df), path)
     required = ("product_id", "is_top_product", "price", "rating", "reviews")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.operators import history
+from shelfwise.operators.skew import join_split_hot
 from shelfwise.registry import query
 from shelfwise.registry.data import CATALOG, catalog, table
 from shelfwise.streaming import trends
@@ -13,7 +14,8 @@ from shelfwise.streaming import trends
 @query(
     "shop_ranking",
     """with totals as (
-      select l_suppkey, l_partkey, round(sum(l_extendedprice), 2) as revenue
+      select l_suppkey, l_partkey, cast(round(sum(l_extendedprice) * 100) as bigint)
+               as revenue
       from lineitem group by 1, 2),
     shops as (
       select s_name as store, n_name as country, p_name, revenue,
@@ -23,7 +25,7 @@ from shelfwise.streaming import trends
     ranked as (
       select *, row_number() over (partition by store order by revenue desc, product_id desc)
                as n from shops)
-    select store, country, count(*) as product_count, round(avg(revenue), 4) as avg_score,
+    select store, country, count(*) as product_count, avg(revenue) as avg_score,
            max(case when n = 1 then p_name end) as flagship
     from ranked group by 1, 2""",
 )
@@ -31,11 +33,11 @@ def shop_ranking(spark, sf):
     revenue = (
         table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_extendedprice")
         .groupBy("l_suppkey", "l_partkey")
-        .agg(F.round(F.sum("l_extendedprice"), 2).alias("final_score"))
+        .agg(F.round(F.sum("l_extendedprice") * 100).cast("bigint").alias("final_score"))
     )
     supplier = table(spark, sf, "supplier")
     products = (
-        revenue.join(supplier, F.col("s_suppkey") == F.col("l_suppkey"))
+        join_split_hot(revenue, supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey", "inner")
         .join(table(spark, sf, "part"), F.col("p_partkey") == F.col("l_partkey"))
         .select(
             F.col("s_name").alias("store"),
@@ -47,9 +49,7 @@ def shop_ranking(spark, sf):
     countries = supplier.join(
         table(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey")
     ).select(F.col("s_name").alias("store"), F.col("n_name").alias("country"))
-    return history.shop_ranking(products, countries).withColumn(
-        "avg_score", F.round("avg_score", 4)
-    )
+    return history.shop_ranking(products, countries)
 
 
 @query(
@@ -112,3 +112,25 @@ def weekly_activity(spark, sf):
     return trends.run_weekly_activity(
         spark, sf, "events.parquet", schema, "event_type", "ts", "value"
     )
+
+
+@query(
+    "price_outliers",
+    """with c as (
+      select event_type, cast(round(value * 100) as bigint) as cents, count(*) as rows
+      from events group by 1, 2),
+    d as (
+      select *, cast(sum(rows) over near as bigint) as neighbours from c
+      window near as (partition by event_type order by cents
+                      range between 10 preceding and 10 following)),
+    r as (
+      select *, sum(case when neighbours >= 4 then 1 else 0 end) over near as dense_near
+      from d
+      window near as (partition by event_type order by cents
+                      range between 10 preceding and 10 following))
+    select event_type, cents, rows, neighbours from r where dense_near = 0""",
+)
+def price_outliers(spark, sf):
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    rows = table(spark, sf, "events", "event_type", "value").withColumn("cents", cents)
+    return history.density_outliers(rows, "event_type", "cents", 10, 4)

@@ -11,7 +11,7 @@ from shelfwise.registry.data import (
     ASSIGNED,
     FILLED,
     assigned,
-    catalog,
+    catalog_table,
     prepared,
     table,
 )
@@ -138,14 +138,14 @@ def segment_metrics(spark, sf):
 
 @query("classifier_metrics")
 def classifier_metrics(spark, sf):
-    df = catalog(spark, sf)
+    df = catalog_table(spark, sf)
     table_ = written(features.fit(df).transform(df), "features")
     return models.train_and_test(table_, trees=TREES)[1]
 
 
 @query("classifier_probability")
 def classifier_probability(spark, sf):
-    df = catalog(spark, sf)
+    df = catalog_table(spark, sf)
     table_ = written(features.fit(df).transform(df), "features")
     fitted, _ = models.train_and_test(table_, trees=TREES)
     return fitted.probability(table_).select("product_id", "top_product_probability")
@@ -153,13 +153,13 @@ def classifier_probability(spark, sf):
 
 @query("train_and_score")
 def train_and_score(spark, sf):
-    enriched = written(catalog(spark, sf), "enriched")
+    enriched = catalog_table(spark, sf)
     return train_score.train_and_score(enriched, trees=TREES, restarts=RESTARTS)
 
 
 @query("model_save_load")
 def model_save_load(spark, sf):
-    enriched = written(catalog(spark, sf), "enriched")
+    enriched = catalog_table(spark, sf)
     trained = train_score.train(enriched, trees=TREES, restarts=1)
     path = scratch_path(spark, "models")
     artifacts.save_models(spark, trained.fitted, path)

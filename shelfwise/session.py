@@ -61,14 +61,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+def pinned(df: DataFrame, max_rows: int = 100_000) -> DataFrame | None:
+    """``df`` as a table of constants if it has at most ``max_rows`` rows, else None.
 
-    A larger table comes back unchanged, so the join shuffles both sides instead. The
-    check reads no more than ``max_rows + 1`` rows, and a table that passes is pinned
-    so that it is not computed a second time by the join.
+    Reads no more than ``max_rows + 1`` rows. A pinned table is not computed again by
+    the plans that use it.
     """
     rows = df.take(max_rows + 1)
     if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+
+    A larger table comes back unchanged, so the join shuffles both sides instead.
+    """
+    small = pinned(df, max_rows)
+    return df if small is None else F.broadcast(small)
