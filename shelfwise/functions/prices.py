@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.schemas import WOO_VARIANT
 
@@ -75,11 +76,14 @@ def shopify_bad_amount(raw: Column) -> Column:
 # --- WooCommerce ---------------------------------------------------------------------
 
 
-def woo_raw_variants(raw_json: Column) -> Column:
-    """Parse variations kept as JSON texts; entries that are no objects are skipped."""
-    objects = F.filter(
-        F.coalesce(raw_json, F.array()), lambda text: text.startswith("{")
-    )
+def woo_mixed_variants(raw: Column) -> Column:
+    """Variations of a product text whose list holds more than objects.
+
+    Such a list does not fit the schema and parses to null; its entries are read one by
+    one here and those that are no objects (bare ids) are skipped.
+    """
+    entries = F.from_json(raw, "variations array<string>")["variations"]
+    objects = F.filter(entries, lambda text: text.startswith("{"))
     return F.transform(objects, lambda text: F.from_json(text, WOO_VARIANT))
 
 
@@ -96,7 +100,7 @@ def _woo_variant_amounts(v: Column, unit: Column) -> tuple[Column, Column]:
 
 
 def woo_variants(raw: Column, minor_unit_digits: int = 2) -> Column:
-    """Normalise parsed variations; amounts are in minor units."""
+    """Normalise parsed variations, none if missing; amounts are in minor units."""
     unit = F.lit(float(10**minor_unit_digits))
 
     def normalise(v: Column) -> Column:
@@ -111,7 +115,7 @@ def woo_variants(raw: Column, minor_unit_digits: int = 2) -> Column:
             F.coalesce(v["is_in_stock"], F.lit(True)).alias("available"),
         )
 
-    return F.transform(raw, normalise)
+    return F.transform(F.coalesce(raw, F.array().cast(T.ArrayType(WOO_VARIANT))), normalise)
 
 
 def woo_price(product: Column, minor_unit_digits: int = 2) -> tuple[Column, Column]:

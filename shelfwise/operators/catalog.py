@@ -17,47 +17,39 @@ from shelfwise.session import checked_broadcast
 # The two platforms.
 PLATFORMS = ("shopify", "woocommerce")
 
-_ORIGIN = ("platform", "store", "page", "pos")
-
-
-def _once(df: DataFrame, keep: Iterable[str], columns: Iterable[Column]) -> DataFrame:
-    """Add columns that are computed once per row.
+# Fields that may be absent from a payload but not null.
+SHOPIFY_NOT_NULL = ("body_html", "title", "variants")
+WOO_NOT_NULL = ("name", "prices", "review_count")
 
-    A plain projection may be merged into later ones and into filters pushed below it,
-    which would parse the payload again for every use. A generator is not merged.
-    """
-    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+_ORIGIN = ("platform", "store", "page", "pos")
 
 
-def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """The payload fields as ``p`` and the keys it has as ``keys``."""
-    return _once(
-        raw,
-        _ORIGIN,
-        [F.from_json("raw", schema).alias("p"), F.json_object_keys("raw").alias("keys")],
+def _parsed(raw: DataFrame, schema: T.StructType, not_null: Iterable[str]) -> DataFrame:
+    """The payload fields as ``p``; ``keys`` lists the keys present if one of the fields
+    ``not_null`` is null, so that few payloads are read a second time."""
+    p = F.col("p")
+    suspicious = reduce(lambda a, b: a | b, [p[field].isNull() for field in not_null])
+    return raw.withColumn("p", F.from_json("raw", schema)).withColumn(
+        "keys", F.when(suspicious, F.json_object_keys("raw"))
     )
 
 
 def _null_in_payload(field: str) -> Column:
     """True if the key is there but holds JSON null (an absent key is fine)."""
-    return F.array_contains("keys", field) & F.col("p")[field].isNull()
+    return F.col("p")[field].isNull() & F.array_contains("keys", field)
 
 
 def map_shopify(raw: DataFrame) -> DataFrame:
     """``raw`` JSON texts to checked products (see ``contracts.valid``/``quarantine``)."""
     p = F.col("p")
-    parsed = _once(
-        _parsed(raw, SHOPIFY_PRODUCT),
-        (*_ORIGIN, "p", "keys"),
-        [prices.shopify_variants(p["variants"]).alias("variants")],
+    parsed = _parsed(raw, SHOPIFY_PRODUCT, SHOPIFY_NOT_NULL).withColumn(
+        "variants", prices.shopify_variants(p["variants"])
     )
     price, promo = prices.shopify_price(F.col("variants"))
     product_id = F.coalesce(p["id"], F.lit(""))
     earlier = contracts.broken_rules(
         [
-            ("body_html_null", ~_null_in_payload("body_html")),
-            ("title_null", ~_null_in_payload("title")),
-            ("variants_null", ~_null_in_payload("variants")),
+            *[(f"{field}_null", ~_null_in_payload(field)) for field in SHOPIFY_NOT_NULL],
             ("amount_unreadable", ~prices.shopify_bad_amount(p["variants"])),
         ]
     )
@@ -84,10 +76,9 @@ def map_shopify(raw: DataFrame) -> DataFrame:
 def map_woo(raw: DataFrame, minor_unit_digits: int = 2) -> DataFrame:
     """``raw`` JSON texts to checked products."""
     p = F.col("p")
-    parsed = _once(
-        _parsed(raw, WOO_PRODUCT),
-        (*_ORIGIN, "p", "keys"),
-        [prices.woo_raw_variants(p["variations"]).alias("raw_variants")],
+    mixed = F.when(_null_in_payload("variations"), prices.woo_mixed_variants(F.col("raw")))
+    parsed = _parsed(raw, WOO_PRODUCT, (*WOO_NOT_NULL, "variations")).withColumn(
+        "raw_variants", F.coalesce(p["variations"], mixed)
     )
     price, promo = prices.woo_price(p, minor_unit_digits)
     product_id = F.coalesce(p["id"], F.lit(""))
@@ -96,10 +87,11 @@ def map_woo(raw: DataFrame, minor_unit_digits: int = 2) -> DataFrame:
     lacking = (rating == 0.0) | (reviews == 0)
     earlier = contracts.broken_rules(
         [
-            ("name_null", ~_null_in_payload("name")),
-            ("prices_null", ~_null_in_payload("prices")),
-            ("variations_null", ~_null_in_payload("variations")),
-            ("review_count_null", ~_null_in_payload("review_count")),
+            *[(f"{field}_null", ~_null_in_payload(field)) for field in WOO_NOT_NULL],
+            (
+                "variations_null",
+                ~(_null_in_payload("variations") & F.col("raw_variants").isNull()),
+            ),
             ("amount_unreadable", ~prices.woo_bad_amount(p)),
             (
                 "rating_unreadable",
@@ -150,11 +142,12 @@ def woo_rating(p: Column) -> tuple[Column, Column]:
 
 
 def _checked(mapped: DataFrame) -> DataFrame:
-    columns = [F.col(c) for c in mapped.columns if c not in _ORIGIN]
-    checked = contracts.check_products(
-        _once(mapped, _ORIGIN, columns), F.col("mapping_reasons")
-    ).drop("mapping_reasons")
-    return _once(checked, _ORIGIN, [F.col(c) for c in checked.columns if c not in _ORIGIN])
+    """Apply the contract. The result comes out of a generator: a filter on the reasons
+    would otherwise be pushed below the projections and parse every payload twice."""
+    checked = contracts.check_products(mapped, F.col("mapping_reasons")).drop(
+        "mapping_reasons"
+    )
+    return checked.select(F.inline(F.array(F.struct(*checked.columns))))
 
 
 def union_all(parts: Iterable[DataFrame]) -> DataFrame:

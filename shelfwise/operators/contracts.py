@@ -15,14 +15,10 @@ STRIPPED = ("product_id", "name", "description", "category", "stock_status")
 
 
 def broken_rules(rules: Iterable[tuple[str, Column]]) -> Column:
-    """Names of the rules whose condition is not true."""
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(~F.coalesce(holds, F.lit(False)), F.lit(name))
-                for name, holds in rules
-            ]
-        )
+    """Names of the rules whose condition is not true, separated by commas."""
+    return F.concat_ws(
+        ",",
+        *[F.when(~F.coalesce(holds, F.lit(False)), F.lit(name)) for name, holds in rules],
     )
 
 
@@ -81,20 +77,24 @@ def check(
     rules: list[tuple[str, Column]],
     earlier: Column | None = None,
 ) -> DataFrame:
-    """Strip the text columns and add ``reasons``; ``earlier`` holds reasons already found."""
+    """Strip the text columns and add ``reasons`` (empty for a good row); ``earlier`` holds
+    reasons already found."""
     found = broken_rules(rules)
     if earlier is not None:
-        found = F.concat(earlier, found)
+        found = F.concat_ws(
+            ",", F.nullif(earlier, F.lit("")), F.nullif(found, F.lit(""))
+        )
     return strip_texts(df).withColumn("reasons", found)
 
 
 def valid(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size("reasons") == 0).drop("reasons")
+    return checked.where(F.col("reasons") == "").drop("reasons")
 
 
 def quarantine(checked: DataFrame, keep: Iterable[str] = ("product_id",)) -> DataFrame:
-    """Rows that break a rule: what identifies them, and why."""
-    return checked.where(F.size("reasons") > 0).select(*keep, "reasons")
+    """Rows that break a rule: what identifies them, and the list of reasons."""
+    broken = checked.where(F.col("reasons") != "")
+    return broken.select(*keep, F.split("reasons", ",").alias("reasons"))
 
 
 def check_products(df: DataFrame, earlier: Column | None = None) -> DataFrame:

@@ -188,11 +188,11 @@ def split_results(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid enriched rows, error rows with the reason)."""
     failed = F.col("error").isNotNull() if "error" in enriched.columns else F.lit(False)
     checked = contracts.check_enriched(enriched)
-    good = checked.where(~failed & (F.size("reasons") == 0)).drop("reasons", "error")
-    reason = F.array_join("reasons", ", ")
+    good = checked.where(~failed & (F.col("reasons") == "")).drop("reasons", "error")
+    reason = F.col("reasons")
     if "error" in enriched.columns:
         reason = F.coalesce("error", reason)
-    bad = checked.where(failed | (F.size("reasons") > 0)).select(
+    bad = checked.where(failed | (F.col("reasons") != "")).select(
         "product_id", reason.alias("error")
     )
     return good, bad

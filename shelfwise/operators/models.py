@@ -6,11 +6,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
+from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +122,30 @@ def train_and_test(
     return fitted, confusion(tested, F.col(label), predicted)
 
 
+def cross_validate_forest(
+    df: DataFrame,
+    label: str = "is_top_product",
+    *,
+    trees: int = 100,
+    depth: int = TREE_DEPTH,
+    folds: int = 5,
+    exclude_leaky: bool = False,
+) -> tuple[RandomForestClassificationModel, float]:
+    """A random forest on all rows and its mean F1 score over ``folds`` folds."""
+    columns = [c for c in matrix_columns(df, exclude_leaky) if c not in (label, "is_test")]
+    check_trainable(df, label, columns)
+    data = assemble(df, columns).select("features", F.col(label).cast("double").alias("label"))
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED)
+    fitted = CrossValidator(
+        estimator=forest,
+        estimatorParamMaps=[{}],
+        evaluator=MulticlassClassificationEvaluator(metricName="f1"),
+        numFolds=folds,
+        seed=SEED,
+    ).fit(data)
+    return fitted.bestModel, float(fitted.avgMetrics[0])
+
+
 # --- Scaling, clustering, projection -------------------------------------------------
 
 
@@ -236,6 +266,19 @@ def fit_segmenter(
     )
 
 
+def hierarchical_clusters(
+    df: DataFrame, columns: tuple[str, ...] = CLUSTER_INPUTS, k: int = CLUSTERS
+) -> DataFrame:
+    """Add ``cluster_id`` from top-down splits of the scaled columns."""
+    check_clusterable(df, columns)
+    scaler = fit_scaler(df, columns)
+    vectors = df.withColumn("scaled", scaler.vector())
+    model = BisectingKMeans(k=k, seed=SEED, featuresCol="scaled", predictionCol="cluster_id").fit(
+        vectors.select("scaled")
+    )
+    return model.transform(vectors).drop("scaled")
+
+
 # --- Cluster quality -----------------------------------------------------------------
 
 

@@ -101,9 +101,7 @@ def enriched_contract(spark, sf):
         F.array_repeat("source", (F.col("n_chars") % 7).cast("int")).alias("extracted_tags"),
     )
     checked = contracts.check(rows, contracts.enrichment_rules())
-    return checked.select(
-        F.col("doc_id").alias("product_id"), F.array_join("reasons", ",").alias("reasons")
-    )
+    return checked.select(F.col("doc_id").alias("product_id"), "reasons")
 
 
 def text_products(spark: SparkSession, sf: str) -> DataFrame:

@@ -268,9 +268,7 @@ def product_contract(spark, sf):
         (F.col("l_linenumber") - 2).cast("bigint").alias("review_count"),
         F.when(F.col("l_returnflag") == "N", "  ").otherwise("in_stock").alias("stock_status"),
     )
-    return contracts.check_products(rows).select(
-        "product_id", F.array_join("reasons", ",").alias("reasons")
-    )
+    return contracts.check_products(rows).select("product_id", "reasons")
 
 
 @query(

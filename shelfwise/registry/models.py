@@ -166,3 +166,21 @@ def model_save_load(spark, sf):
     artifacts.save_metrics(trained.classifier_metrics, f"{path}/metrics")
     loaded = artifacts.load_models(spark, path)
     return train_score.shortlist(enriched, loaded.features.transform(enriched), loaded)
+
+
+@query("random_forest_cross_validation")
+def random_forest_cross_validation(spark, sf):
+    df = catalog_table(spark, sf)
+    table_ = written(features.fit(df).transform(df), "features")
+    model, f1 = models.cross_validate_forest(table_, trees=TREES, folds=3)
+    return spark.createDataFrame(
+        [(model.getNumTrees, round(f1, 6))], "trees int, mean_f1 double"
+    )
+
+
+@query("hierarchical_clusters")
+def hierarchical_clusters(spark, sf):
+    table_ = written(features.add_reviews(prepared(spark, sf)[0]), "prepared")
+    return models.hierarchical_clusters(table_).groupBy("cluster_id").agg(
+        F.count("*").alias("products"), F.round(F.avg("price"), 4).alias("avg_price")
+    )

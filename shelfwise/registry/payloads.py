@@ -339,7 +339,7 @@ def woo_variants(spark, sf):
     p = F.col("p")
     parsed = _woo_parsed(spark, sf).select(
         p["id"].alias("product_id"),
-        prices.woo_variants(prices.woo_raw_variants(p["variations"])).alias("variants"),
+        prices.woo_variants(p["variations"]).alias("variants"),
     )
     return _exploded(parsed).drop("sku", "inventory_quantity")
 

@@ -121,7 +121,6 @@ WOO_VARIANT = T.StructType(
     ]
 )
 
-# Variations stay raw text: some shops send bare ids among the objects.
 WOO_PRODUCT = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -149,7 +148,7 @@ WOO_PRODUCT = T.StructType(
         T.StructField("average_rating", T.StringType()),
         T.StructField("review_count", T.StringType()),
         T.StructField("rating_count", T.StringType()),
-        T.StructField("variations", T.ArrayType(T.StringType())),
+        T.StructField("variations", T.ArrayType(WOO_VARIANT)),
     ]
 )
 
