@@ -139,14 +139,12 @@ def name_rules(found: DataFrame, products: DataFrame) -> DataFrame:
     ``found`` is a short list (see ``top_rules``). The product table is first reduced to
     the items that occur, so the large side never moves.
     """
-    keyed = found.withColumn("rule_no", F.xxhash64("antecedents", "consequents"))
+    rule = ["antecedents", "consequents"]
     item_rows = reduce(
         DataFrame.unionByName,
         [
-            keyed.select(
-                "rule_no", F.lit(side).alias("side"), F.posexplode(side).alias("i", "item")
-            )
-            for side in ("antecedents", "consequents")
+            found.select(*rule, F.lit(side).alias("side"), F.posexplode(side).alias("i", "item"))
+            for side in rule
         ],
     )
     wanted = checked_broadcast(item_rows.select("item").distinct())
@@ -158,7 +156,7 @@ def name_rules(found: DataFrame, products: DataFrame) -> DataFrame:
     )
     named = (
         item_rows.join(checked_broadcast(names), "item", "left")
-        .groupBy("rule_no")
+        .groupBy(*rule)
         .agg(
             *[
                 F.transform(
@@ -172,11 +170,11 @@ def name_rules(found: DataFrame, products: DataFrame) -> DataFrame:
                     ),
                     lambda r: r["name"],
                 ).alias(f"{side}_names")
-                for side in ("antecedents", "consequents")
+                for side in rule
             ]
         )
     )
-    return keyed.join(named, "rule_no").select(
+    return found.join(named, rule).select(
         "antecedents",
         "consequents",
         "antecedents_names",

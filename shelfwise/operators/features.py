@@ -198,23 +198,33 @@ def add_label(df: DataFrame, cuts: Cuts, fallback: Fallback | None = None) -> Da
 
 
 def fit_vocabulary(df: DataFrame, max_values: int = 1000) -> Vocabulary:
-    """Sorted distinct values of both columns; fails if they are too many for columns."""
+    """Sorted distinct values of both columns; fails if they are too many for columns.
+
+    Column names do not tell upper from lower case, so values that differ only in case
+    share a column, named after the lower-case spelling where there is one.
+    """
     names = ("standardized_category", "stock_status")
     cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])
     rows = df.select(F.explode(cells).alias("c")).select("c.*").distinct().take(max_values + 1)
     if len(rows) > max_values:
         raise ValueError(f"more than {max_values} categories and stock states")
-    return Vocabulary(*[tuple(sorted(r["value"] for r in rows if r["name"] == n)) for n in names])
+
+    def spellings(name: str) -> tuple[str, ...]:
+        values = sorted(r["value"] for r in rows if r["name"] == name)
+        return tuple(sorted({v.lower(): v for v in values}.values()))
+
+    return Vocabulary(*[spellings(n) for n in names])
 
 
 def one_hot(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """A 0/1 column per known value; the source columns go."""
     columns = {
-        f"cat_{v}": (F.col("standardized_category") == v).cast("int")
+        f"cat_{v}": (F.lower("standardized_category") == v.lower()).cast("int")
         for v in vocabulary.categories
     }
     columns |= {
-        f"stock_{v}": (F.col("stock_status") == v).cast("int") for v in vocabulary.stock
+        f"stock_{v}": (F.lower("stock_status") == v.lower()).cast("int")
+        for v in vocabulary.stock
     }
     return df.withColumns(columns).drop("standardized_category", "stock_status")
 

@@ -91,10 +91,14 @@ def _near(
 ) -> DataFrame:
     """Add the sum of ``weight`` within ``eps``; ``home`` is the cell of the value."""
     around = F.explode(F.sequence(F.col("home") - 1, F.col("home") + 1))
-    near = Window.partitionBy(group, "cell").orderBy(value).rangeBetween(-eps, eps)
+    distance = f"{eps}D" if isinstance(eps, float) else str(eps)
+    near = F.expr(
+        f"sum(`{weight}`) over (partition by `{group}`, cell order by `{value}`"
+        f" range between {distance} preceding and {distance} following)"
+    )
     return (
         cells.withColumn("cell", around)
-        .withColumn(out, F.sum(weight).over(near))
+        .withColumn(out, near)
         .where(F.col("cell") == F.col("home"))
         .drop("cell")
     )

@@ -287,10 +287,10 @@ def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     columns = {"point": [], "cluster": [], "own": [], "total": [], "n": []}
     if len(left) and len(right):
         a = np.stack(left["x"].to_list()).astype(float)
-        b = np.stack(right["x"].to_list()).astype(float)
+        b = np.stack(right["other_x"].to_list()).astype(float)
         step = max(1, 4_000_000 // a.size)
-        for cluster in np.unique(right["cluster"]):
-            members = b[(right["cluster"] == cluster).to_numpy()]
+        for cluster in np.unique(right["other"]):
+            members = b[(right["other"] == cluster).to_numpy()]
             total = np.zeros(len(a))
             for start in range(0, len(members), step):
                 gap = a[:, None, :] - members[None, start : start + step, :]
@@ -321,7 +321,12 @@ def silhouette(
     dealt = points.withColumn("block", F.pmod(F.xxhash64("point"), F.lit(blocks)))
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
     left = dealt.withColumnRenamed("block", "i").withColumn("j", others)
-    right = dealt.withColumnRenamed("block", "j").withColumn("i", others)
+    right = dealt.select(
+        others.alias("i"),
+        F.col("block").alias("j"),
+        F.col("cluster").alias("other"),
+        F.col("x").alias("other_x"),
+    )
     kind = df.schema[point].dataType.simpleString()
     sums = (
         left.groupBy("i", "j")

@@ -26,14 +26,13 @@ WOO_PAGE_SIZE = 100
 
 
 def read_pages(spark: SparkSession, root: str) -> DataFrame:
-    """All landed payload files; platform, store and page come from the path."""
-    found = spark.read.option("wholetext", "true").text(root)
-    return found.select(
-        F.col("platform").cast("string").alias("platform"),
-        F.col("store").cast("string").alias("store"),
-        F.col("page").cast("int").alias("page"),
-        F.col("value").alias("payload"),
-    )
+    """All landed payload files; platform, store and page come from the path.
+
+    Their types are given, not inferred: a store named 007 keeps its name.
+    """
+    schema = "value string, platform string, store string, page int"
+    found = spark.read.schema(schema).text(root, wholetext=True)
+    return found.select("platform", "store", "page", F.col("value").alias("payload"))
 
 
 def shopify_items(payload: Column) -> Column:

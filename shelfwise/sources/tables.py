@@ -34,7 +34,7 @@ def _records(spark: SparkSession, path: str, layout: str) -> DataFrame:
         return spark.read.text(path).select(F.col("value").alias("raw"))
     if layout != "array":
         raise ValueError(f"unknown layout {layout!r}")
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     not_arrays = whole.where(~F.ltrim("value").startswith("["))
     if not not_arrays.isEmpty():
         raise ValueError(f"expected a JSON array in every file of {path}")
