@@ -92,7 +92,7 @@ def term_weights(tf: DataFrame, key: str, rows: int, hot_share: float = 0.01) ->
     hot_from = max(1.0, rows * hot_share)
     hot = vocabulary.where(F.col("df") > hot_from)
     cold = vocabulary.where(F.col("df") <= hot_from)
-    marked = tf.join(checked_broadcast(hot), "term", "left")
+    marked = tf.join(checked_broadcast(hot, 500_000), "term", "left")
     common = marked.where("df is not null")
     rare = marked.where("df is null").drop("df").join(cold, "term")
     weight = F.col("tf") * F.log(F.lit(1.0 + rows) / (F.col("df") + F.lit(1.0)))

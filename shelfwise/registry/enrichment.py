@@ -200,7 +200,7 @@ def incremental_enrichment(spark, sf):
     def enrich(products: DataFrame) -> DataFrame:
         return enrichment.enrich_with(products, _short, attempts=1)
 
-    incremental.enrich_incremental(spark, f"{root}/products", store, enrich)
+    incremental.enrich_incremental(spark, f"{root}/products", store, enrich, files_per_lot=1)
     found = incremental.enrich_incremental(spark, f"{root}/products", store, enrich)
     return found.select("product_id", "price")
 

@@ -29,20 +29,28 @@ def get_session(app_name: str = "shelfwise", cores: str | None = None) -> SparkS
     return spark
 
 
+_test_folders: dict[str, str] = {}
+
+
+def configured_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
     A temporary folder is used only when the setting is missing and the session is
     local, that is in tests.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = configured_dir(spark)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    run = spark.sparkContext.applicationId
+    if run not in _test_folders:
+        _test_folders[run] = tempfile.mkdtemp(prefix="shelfwise-")
+    return _test_folders[run]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

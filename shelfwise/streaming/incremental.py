@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators import contracts, enrichment
+from shelfwise.operators.catalog import dedupe_products
 from shelfwise.schemas import ENRICHED, PRODUCT
 from shelfwise.session import written
 
@@ -65,9 +66,15 @@ def enrich_lot(
     A lot writes only its own folder and replaces it, so a repeated lot changes nothing.
     """
     spark = batch.sparkSession
-    products = contracts.valid(contracts.check_products(batch)).dropDuplicates(["product_id"])
-    earlier = read_cache(spark, store).where(F.col("lot") != lot).drop("lot")
-    _, misses = enrichment.split_by_cache(products, earlier)
+    products = dedupe_products(
+        contracts.valid(contracts.check_products(batch)),
+        key=("product_id",),
+        order=("name", "price", "description"),
+    )
+    # Only rows that passed the contract are in the table, so their ids are enough; the
+    # scan reads that one column.
+    earlier = read_cache(spark, store).where(F.col("lot") != lot).select("product_id")
+    misses = products.join(earlier, "product_id", "left_anti")
     results = written(enrich(written(misses, "misses")), "lot-results")
     good, bad = enrichment.split_results(results)
     good.write.mode("overwrite").parquet(f"{store.enriched}/lot={lot}")
@@ -79,11 +86,12 @@ def enrich_incremental(
     source: str,
     store: Store,
     enrich: Callable[[DataFrame], DataFrame] = enrichment.enrich_with_rules,
-    files_per_lot: int = 1,
+    files_per_lot: int = 1000,
 ) -> DataFrame:
     """Run over all product files not seen before; gives the whole enriched table back.
 
-    A lot that fails is noted under ``failed_lots`` and skipped.
+    A lot is the products of up to ``files_per_lot`` files. One that fails is noted under
+    ``failed_lots`` and skipped.
     """
 
     def handle(batch: DataFrame, lot: int) -> None:

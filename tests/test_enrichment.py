@@ -187,3 +187,18 @@ def test_report_bundle(spark):
     assert out["price_score_chart"].count() == 0 and out["projection_chart"].count() == 0
     assert report.rule_texts(out["association_rules"]).first()["rule"] == "[A] -> [B]"
     assert report.display_table(scored).columns[0] == "product id"
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    path = str(tmp_path / "t")
+    rows = spark.range(10).select(
+        F.lit("Home").alias("standardized_category"), F.lit("in_stock").alias("stock_status"),
+        F.col("id").cast("double").alias("price"), F.col("id").cast("double").alias("final_score"),
+        F.lit("long text").alias("description"),
+    )
+    rows.write.parquet(path)
+    df = report.kpis(report.filter_products(spark.read.parquet(path), ["Home"], ["in_stock"]))
+    plan = df._jdf.queryExecution().toString()
+    assert "EqualTo(standardized_category,Home)" in plan and "EqualTo(stock_status,in_stock)" in plan
+    assert "description" not in plan.split("ReadSchema")[1]

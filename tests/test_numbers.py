@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfwise.operators import features, quantiles, split
-from shelfwise.operators.skew import join_split_hot
+from shelfwise.operators.skew import hot_keys, join_split_hot
 
 SETTINGS = settings(
     max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -164,3 +164,10 @@ def test_split_join_equals_plain_join(spark, how):
     want = left.join(right, "k", how)
     assert got.columns == want.columns
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_hot_keys(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "a").otherwise(F.col("id").cast("string")).alias("k"))
+    assert hot_keys(df, "k", 1000) == ["a"]
+    assert hot_keys(df, "k") == []
+    assert hot_keys(df.where("false"), "k") == []
