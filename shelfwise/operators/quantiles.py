@@ -69,7 +69,8 @@ def _narrow(values: DataFrame, searches: list[_Search], bins: int) -> dict:
                 )
             )
         counted = (
-            values.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
+            values.select(F.explode(F.array(*cells)).alias("c"))
+            .where("c is not null")
             .groupBy("c.w", "c.bin")
             .agg(F.count("*").alias("n"), F.min("c.v").alias("lo"), F.max("c.v").alias("hi"))
             .collect()

@@ -105,7 +105,8 @@ def attach_products(ranked: DataFrame, products: DataFrame) -> DataFrame:
     The product table is reduced to the listed ids first, so it is scanned but not
     shuffled, and the record carries its own price and rating, not the filled-in ones.
     """
-    ranked = pinned(ranked) or ranked
+    small = pinned(ranked)
+    ranked = ranked if small is None else small
     ids = checked_broadcast(ranked.select("product_id"))
     reduced = products.join(ids, "product_id", "left_semi")
     scores = ranked.select("product_id", *[c for c in SCORE_COLUMNS if c in ranked.columns])

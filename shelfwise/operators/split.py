@@ -16,8 +16,12 @@ def split_key(id_column: str) -> Column:
     return id_hash(F.col(id_column).cast("string"), 13).cast("double")
 
 
-def class_counts(df: DataFrame, label: str) -> dict[int, int]:
-    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
+def class_counts(df: DataFrame, label: str, max_classes: int = 1000) -> dict[int, int]:
+    """Rows per class; fails if the label has too many values to be one."""
+    rows = df.groupBy(label).agg(F.count("*").alias("n")).take(max_classes + 1)
+    if len(rows) > max_classes:
+        raise ValueError(f"{label!r} has more than {max_classes} classes")
+    return {r[label]: r["n"] for r in rows}
 
 
 def class_profile(df: DataFrame, label: str) -> DataFrame:

@@ -39,6 +39,8 @@ def train(
 
 def score(feature_table: DataFrame, fitted: Fitted, normalize: str | None = None) -> DataFrame:
     """Every row with probability, cluster, projection, cluster quality and final score."""
+    if "reviews" not in feature_table.columns:
+        feature_table = features.add_reviews(feature_table)
     with_probability = fitted.classifier.probability(feature_table)
     assigned = fitted.segmenter.assign(with_probability)
     return scoring.add_final_score(

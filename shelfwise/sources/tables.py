@@ -111,7 +111,12 @@ def typed_results(df: DataFrame) -> DataFrame:
     return df.withColumns(columns)
 
 
-def read_topk(spark: SparkSession, path: str) -> DataFrame:
+def _read_json(spark: SparkSession, path: str, schema: T.StructType, layout: str) -> DataFrame:
+    """Typed records from JSON lines or from files holding one array."""
+    return spark.read.schema(schema).json(path, multiLine=layout == "array")
+
+
+def read_topk(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     as_text = T.StructType(
         [
             T.StructField(
@@ -121,12 +126,14 @@ def read_topk(spark: SparkSession, path: str) -> DataFrame:
             for f in SCORED
         ]
     )
-    return typed_results(spark.read.schema(as_text).json(path))
+    return typed_results(_read_json(spark, path, as_text, layout))
 
 
 def write_rules(rules: DataFrame, path: str, limit: int = KEPT_RULES) -> None:
     write_json(top_rules(rules, limit), path)
 
 
-def read_rules(spark: SparkSession, path: str, limit: int = SHOWN_RULES) -> DataFrame:
-    return shown_rules(spark.read.schema(RULE).json(path), limit)
+def read_rules(
+    spark: SparkSession, path: str, limit: int = SHOWN_RULES, layout: str = "lines"
+) -> DataFrame:
+    return shown_rules(_read_json(spark, path, RULE, layout), limit)

@@ -1,6 +1,8 @@
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfwise.operators import catalog, contracts
@@ -303,3 +305,51 @@ def test_enriched_contract_edges(spark):
 def test_required_columns(spark):
     with pytest.raises(ValueError, match="stock_status"):
         contracts.require_columns(spark.range(1).withColumn("product_id", F.lit("x")))
+
+
+AMOUNT = st.one_of(st.none(), st.just(""), st.integers(0, 2000).map(lambda c: f"{c / 100:.2f}"))
+
+
+def plain_shopify_price(variants):
+    """The price rule as a loop over variants."""
+    cheapest, lowest_compare = None, None
+    for price, compare in variants:
+        value = float(price or 0)
+        cheapest = value if cheapest is None else min(cheapest, value)
+        if compare:
+            limit = float(compare)
+            lowest_compare = limit if lowest_compare is None else min(lowest_compare, limit)
+    cheapest = cheapest or 0.0
+    if lowest_compare is not None and lowest_compare > cheapest:
+        return lowest_compare, cheapest
+    return cheapest, None
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(AMOUNT, AMOUNT), max_size=4), min_size=1, max_size=30))
+def test_shopify_price_rule(spark, products):
+    payloads = [shopify(variants=[variant(*v) for v in variants]) for variants in products]
+    rows = mapped(spark, catalog.map_shopify, *payloads)
+    for i, variants in enumerate(products):
+        got = rows[i]["price"], rows[i]["promotional_price"]
+        assert got == plain_shopify_price(variants)
+        assert got[1] is None or got[1] < got[0]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(*[st.one_of(st.none(), st.just(""), st.integers(0, 500).map(str))] * 3),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_woo_price_rule(spark, products):
+    fields = ("price", "regular_price", "sale_price")
+    payloads = [woo(prices=dict(zip(fields, amounts))) for amounts in products]
+    rows = mapped(spark, catalog.map_woo, *payloads)
+    for i, (price, regular, sale) in enumerate(products):
+        want = float(regular or price or 0) / 100
+        assert rows[i]["price"] == want
+        reduced = sale and 0 < float(sale) / 100 < want
+        assert rows[i]["promotional_price"] == (float(sale) / 100 if reduced else None)

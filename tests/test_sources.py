@@ -40,13 +40,15 @@ def test_read_enriched_drops_what_is_no_object(spark, tmp_path):
         tables.read_enriched(spark, str(empty), "array")
 
 
-def test_read_topk_coerces(spark, tmp_path):
+@pytest.mark.parametrize("layout", ["lines", "array"])
+def test_read_topk_coerces(spark, tmp_path, layout):
     rows = [
         {"product_id": "1", "price": "9.5", "final_score": "bad", "cluster_id": "2"},
         {"product_id": "2", "price": 3, "final_score": 1.25, "cluster_id": None},
     ]
-    (tmp_path / "t.json").write_text("\n".join(map(json.dumps, rows)))
-    got = {r["product_id"]: r for r in tables.read_topk(spark, str(tmp_path)).collect()}
+    text = json.dumps(rows, indent=1) if layout == "array" else "\n".join(map(json.dumps, rows))
+    (tmp_path / "t.json").write_text(text)
+    got = {r["product_id"]: r for r in tables.read_topk(spark, str(tmp_path), layout).collect()}
     assert (got["1"]["price"], got["1"]["final_score"], got["1"]["cluster_id"]) == (9.5, None, 2)
     assert (got["2"]["price"], got["2"]["final_score"], got["2"]["cluster_id"]) == (3.0, 1.25, None)
 
