@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import features, models, scoring
-from shelfwise.session import written
+from shelfwise.session import spread, written
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+def spread_table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """The same for queries that work hard on every row."""
+    return spread(table(spark, sf, name, *columns))
+
+
 # Part types as categories of the taxonomy; SMALL stays without one.
 CATEGORY_OF_TYPE = {
     "PROMO": "Electronics",

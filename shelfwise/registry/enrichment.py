@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import text as texts
 from shelfwise.operators import contracts, enrichment
 from shelfwise.registry import query
-from shelfwise.registry.data import table
+from shelfwise.registry.data import spread_table, table
 from shelfwise.schemas import PRODUCT
 from shelfwise.session import scratch_path
 from shelfwise.sources import tables
@@ -45,7 +45,7 @@ def _hits_sql(name: str) -> str:
     from m""",
 )
 def standardized_categories(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = spread_table(spark, sf, "documents", "doc_id", "text")
     return enrichment.add_category(docs, F.col("text"), WORDS).drop("text")
 
 
@@ -62,7 +62,7 @@ def standardized_categories(spark, sf):
     select doc_id, trim(left(trim(coalesce(t, '')), 320)) as short_summary from cut""",
 )
 def short_summaries(spark, sf):
-    return table(spark, sf, "documents", "doc_id", "text").select(
+    return spread_table(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", texts.first_sentences(F.col("text")).alias("short_summary")
     )
 
@@ -80,7 +80,7 @@ def short_summaries(spark, sf):
     select doc_id, rank, tag from r where rank <= 5""",
 )
 def extracted_tags(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = spread_table(spark, sf, "documents", "doc_id", "text")
     return enrichment.tags(docs, "doc_id", F.col("text"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import catalog, contracts
 from shelfwise.plans import ingest
 from shelfwise.registry import query
-from shelfwise.registry.data import table
+from shelfwise.registry.data import spread_table, table
 from shelfwise.registry.payloads import hash_sql
 from shelfwise.session import scratch_path, written
 from shelfwise.sources import pages as page_source
@@ -92,7 +92,7 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.when(is_empty, F.array()).otherwise(F.transform(three, shopify)).alias("products"))
     )
     woo_page = F.when(is_empty, "[]").otherwise(F.to_json(F.transform(three, woo)))
-    pages = table(spark, sf, "part").select(
+    pages = spread_table(spark, sf, "part").select(
         _platform().alias("platform"),
         F.concat(F.lit("shop-"), _shop().cast("string")).alias("store"),
         (key % 20 + 1).cast("int").alias("page"),

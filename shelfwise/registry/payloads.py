@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import impute, prices, text
 from shelfwise.operators import catalog, contracts
 from shelfwise.registry import query
-from shelfwise.registry.data import table
+from shelfwise.registry.data import spread_table, table
 from shelfwise.schemas import SHOPIFY_PRODUCT, WOO_PRODUCT
 
 # A listing carries as many variants as its line number modulo 4.
@@ -65,7 +65,7 @@ def shopify_listings(spark: SparkSession, sf: str) -> DataFrame:
         .alias("product_type"),
         _variants(variant).alias("variants"),
     )
-    return table(spark, sf, "lineitem").select(
+    return spread_table(spark, sf, "lineitem").select(
         F.lit("shopify").alias("platform"),
         (F.col("l_suppkey") % 10).cast("string").alias("store"),
         F.lit(1).alias("page"),
@@ -261,7 +261,7 @@ def woo_listings(spark: SparkSession, sf: str) -> DataFrame:
         (part % 4).alias("rating_count"),
         _variants(variant).alias("variations"),
     )
-    return table(spark, sf, "lineitem").select(
+    return spread_table(spark, sf, "lineitem").select(
         F.lit("woocommerce").alias("platform"),
         (supp % 10).cast("string").alias("store"),
         F.lit(1).alias("page"),
@@ -384,7 +384,7 @@ _EDGE = (
     from pages""",
 )
 def strip_html_pages(spark, sf):
-    return table(spark, sf, "pages", "page_id", "html").select(
+    return spread_table(spark, sf, "pages", "page_id", "html").select(
         "page_id", text.strip_html(F.col("html")).alias("description")
     )
 

@@ -69,6 +69,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan to all cores if it has fewer splits than there are cores.
+
+    For costly work on a small input (one file of one row group is read by one task). A
+    large input has more splits than cores and stays as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def pinned(df: DataFrame, max_rows: int = 100_000) -> DataFrame | None:
     """``df`` as a table of constants if it has at most ``max_rows`` rows, else None.
 
