@@ -33,6 +33,7 @@ COLUMN_SHARE = 0.9
 SEED = 42
 CLUSTERS = 3
 RESTARTS = 10
+ITERATIONS = 300
 
 
 # --- Classifier ----------------------------------------------------------------------
@@ -176,13 +177,14 @@ def fit_scaler(df: DataFrame, columns: tuple[str, ...] = CLUSTER_INPUTS) -> Scal
 
 
 def fit_kmeans(
-    vectors: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS
+    vectors: DataFrame,
+    k: int = CLUSTERS,
+    restarts: int = RESTARTS,
+    iterations: int = ITERATIONS,
 ) -> KMeansModel:
     """The restart with the lowest cost; ``vectors`` has a column ``scaled``."""
-    fits = (
-        KMeans(k=k, seed=SEED + i, featuresCol="scaled", predictionCol="cluster_id").fit(vectors)
-        for i in range(restarts)
-    )
+    kmeans = KMeans(k=k, maxIter=iterations, featuresCol="scaled", predictionCol="cluster_id")
+    fits = (kmeans.setSeed(SEED + i).fit(vectors) for i in range(restarts))
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -245,6 +247,7 @@ def fit_segmenter(
     *,
     k: int = CLUSTERS,
     restarts: int = RESTARTS,
+    iterations: int = ITERATIONS,
     components: int = 2,
 ) -> Segmenter:
     """Scaler, KMeans and PCA on three columns of ``df``; the vectors are cached."""
@@ -252,7 +255,7 @@ def fit_segmenter(
     scaler = fit_scaler(df, columns)
     vectors = df.select(scaler.vector().alias("scaled")).persist()
     try:
-        kmeans = fit_kmeans(vectors, k, restarts)
+        kmeans = fit_kmeans(vectors, k, restarts, iterations)
         pca = PCA(k=components, inputCol="scaled", outputCol="projected").fit(vectors)
     finally:
         vectors.unpersist()

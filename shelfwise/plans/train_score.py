@@ -24,6 +24,7 @@ def train(
     *,
     trees: int = models.TREES,
     restarts: int = models.RESTARTS,
+    iterations: int = models.ITERATIONS,
     exclude_leaky: bool = False,
 ) -> Trained:
     """Fit features, classifier and segmenter. The feature table is written once and read
@@ -33,7 +34,7 @@ def train(
     classifier, metrics = models.train_and_test(
         table, trees=trees, exclude_leaky=exclude_leaky
     )
-    segmenter = models.fit_segmenter(table, restarts=restarts)
+    segmenter = models.fit_segmenter(table, restarts=restarts, iterations=iterations)
     return Trained(Fitted(feature_model, classifier, segmenter), table, metrics)
 
 

@@ -18,9 +18,11 @@ from shelfwise.registry.data import (
 from shelfwise.session import scratch_path, written
 from shelfwise.sources import artifacts
 
-# Fits in these queries use fewer trees and restarts than the defaults of the library.
+# Fits in these queries take fewer trees, restarts and iterations than the defaults of the
+# library; they read all rows.
 TREES = 10
 RESTARTS = 2
+ITERATIONS = 20
 
 
 @query(
@@ -120,7 +122,7 @@ def silhouette_euclidean(spark, sf):
 @query("kmeans_clusters")
 def kmeans_clusters(spark, sf):
     table_ = written(features.add_reviews(prepared(spark, sf)[0]), "prepared")
-    segmenter = models.fit_segmenter(table_, restarts=RESTARTS)
+    segmenter = models.fit_segmenter(table_, restarts=RESTARTS, iterations=ITERATIONS)
     return segmenter.assign(table_).groupBy("cluster_id").agg(
         F.count("*").alias("products"),
         F.round(F.avg("price"), 4).alias("avg_price"),
@@ -132,7 +134,7 @@ def kmeans_clusters(spark, sf):
 @query("segment_metrics")
 def segment_metrics(spark, sf):
     table_ = written(features.add_reviews(prepared(spark, sf)[0]), "prepared")
-    segmenter = models.fit_segmenter(table_, restarts=RESTARTS)
+    segmenter = models.fit_segmenter(table_, restarts=RESTARTS, iterations=ITERATIONS)
     return models.segment_metrics(table_, segmenter, metric="squaredEuclidean")
 
 
@@ -154,13 +156,13 @@ def classifier_probability(spark, sf):
 @query("train_and_score")
 def train_and_score(spark, sf):
     enriched = catalog_table(spark, sf)
-    return train_score.train_and_score(enriched, trees=TREES, restarts=RESTARTS)
+    return train_score.train_and_score(enriched, trees=TREES, restarts=RESTARTS, iterations=ITERATIONS)
 
 
 @query("model_save_load")
 def model_save_load(spark, sf):
     enriched = catalog_table(spark, sf)
-    trained = train_score.train(enriched, trees=TREES, restarts=1)
+    trained = train_score.train(enriched, trees=TREES, restarts=1, iterations=ITERATIONS)
     path = scratch_path(spark, "models")
     artifacts.save_models(spark, trained.fitted, path)
     artifacts.save_metrics(trained.classifier_metrics, f"{path}/metrics")

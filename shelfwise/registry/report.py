@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import report
 from shelfwise.registry import query
-from shelfwise.registry.baskets import named_rules
+from shelfwise.registry.baskets import named_rules, rules_sql
 from shelfwise.registry.data import CATALOG, FILLED, catalog, prepared, table
 from shelfwise.registry.scoring import RECORDS, records
+from shelfwise.session import written
 
 CATEGORIES = ("Electronics", "Home", "Unknown")
 STOCK = ("in_stock",)
@@ -188,10 +189,26 @@ def chat_context(spark, sf):
     return report.chat_context(products, table(spark, sf, "conversations"))
 
 
-@query("report_bundle")
+@query(
+    "report_bundle",
+    f"""with {RECORDS}, {rules_sql('p_brand', 0.005, 0.2, 'where lift > 1.1')},
+    chosen as (select * from records where {_CHOSEN})
+    select 'kpis' as part, cast(1 as bigint) as rows
+    union all
+    select 'filter_options', count(distinct standardized_category) + count(distinct stock_status)
+    from records
+    union all select 'rows', count(*) from chosen
+    union all select 'price_score_chart', count(*) from chosen
+      where price is not null and final_score is not null
+    union all select 'projection_chart', count(*) from chosen
+      where pca_1 is not null and pca_2 is not null
+    union all select 'association_rules', least(15, count(*)) from kept""",
+)
 def report_bundle(spark, sf):
     """Sizes of all tables of one report view."""
-    bundle = report.bundle(records(spark, sf), named_rules(spark, sf), CATEGORIES, STOCK)
+    scored = written(records(spark, sf), "records")
+    rules = written(named_rules(spark, sf), "named-rules")
+    bundle = report.bundle(scored, rules, CATEGORIES, STOCK)
     sizes = None
     for name, df in bundle.items():
         size = df.agg(F.lit(name).alias("part"), F.count("*").alias("rows"))
