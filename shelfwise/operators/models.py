@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators.features import matrix_columns
 from shelfwise.operators.split import check_clusterable, check_trainable, with_test_flag
 from shelfwise.schemas import CLUSTER_INPUTS
+from shelfwise.session import checked_broadcast, written
 
 # Parameters of the boosted trees and of the clustering.
 TREES = 200
@@ -286,70 +287,84 @@ def hierarchical_clusters(
 
 
 def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Per left point and right cluster: sum of distances and number of right points."""
-    columns = {"point": [], "cluster": [], "own": [], "total": [], "n": []}
+    """Per left point and right cluster: sum of distances to the rows of that cluster."""
+    columns = {"point": [], "cluster": [], "total": []}
     if len(left) and len(right):
         a = np.stack(left["x"].to_list()).astype(float)
         b = np.stack(right["other_x"].to_list()).astype(float)
+        copies = right["other_copies"].to_numpy(dtype=float)
         step = max(1, 4_000_000 // a.size)
         for cluster in np.unique(right["other"]):
-            members = b[(right["other"] == cluster).to_numpy()]
+            members = np.flatnonzero(right["other"].to_numpy() == cluster)
             total = np.zeros(len(a))
             for start in range(0, len(members), step):
-                gap = a[:, None, :] - members[None, start : start + step, :]
-                total += np.sqrt((gap * gap).sum(axis=2)).sum(axis=1)
+                part = members[start : start + step]
+                gap = a[:, None, :] - b[None, part, :]
+                total += np.sqrt((gap * gap).sum(axis=2)) @ copies[part]
             columns["point"].append(left["point"].to_numpy())
-            columns["own"].append(left["cluster"].to_numpy())
             columns["cluster"].append(np.full(len(a), cluster))
             columns["total"].append(total)
-            columns["n"].append(np.full(len(a), len(members)))
     return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in columns.items()})
 
 
-def silhouette(
-    df: DataFrame, point: str, x: Column, cluster: str, block_rows: int = 2048
-) -> DataFrame:
+def silhouette(df: DataFrame, x: Column, cluster: str, block_rows: int = 2048) -> DataFrame:
     """Mean silhouette with plain Euclidean distance, one row.
 
-    The distances between all points are part of the definition. Points are dealt to
-    blocks by a hash of their id; every pair of blocks is one bounded numpy task that
-    returns sums per point and cluster, never pairs. The work grows with the square of
-    the rows; ``squared_silhouette`` is the linear-time relative for large tables.
-    ``point`` must be unique.
+    Equal points of a cluster are counted and taken once. The distances between all
+    points are part of the definition, so the work grows with the square of the distinct
+    points; ``squared_silhouette`` is the linear-time relative for large tables. Points
+    are dealt to blocks of bounded size, and every two blocks are one numpy task that
+    returns sums per point and cluster, never pairs.
     """
-    points = df.select(
-        F.col(point).alias("point"), F.col(cluster).alias("cluster"), x.alias("x")
+    counted = df.groupBy(x.alias("x"), F.col(cluster).alias("cluster")).agg(
+        F.count("*").alias("copies")
+    )
+    # Written, so that the numbers given to the points stay the same.
+    points = written(
+        counted.withColumn("point", F.monotonically_increasing_id()), "silhouette-points"
     )
     blocks = max(1, -(-points.count() // block_rows))
     dealt = points.withColumn("block", F.pmod(F.xxhash64("point"), F.lit(blocks)))
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
-    left = dealt.withColumnRenamed("block", "i").withColumn("j", others)
+    left = dealt.select("point", "x", F.col("block").alias("i"), others.alias("j"))
     right = dealt.select(
         others.alias("i"),
         F.col("block").alias("j"),
         F.col("cluster").alias("other"),
         F.col("x").alias("other_x"),
+        F.col("copies").alias("other_copies"),
     )
-    kind = df.schema[point].dataType.simpleString()
     sums = (
         left.groupBy("i", "j")
         .cogroup(right.groupBy("i", "j"))
-        .applyInPandas(
-            _block_sums, f"point {kind}, cluster int, own int, total double, n bigint"
+        .applyInPandas(_block_sums, "point bigint, cluster int, total double")
+        .groupBy("point", "cluster")
+        .agg(F.sum("total").alias("total"))
+    )
+    sizes = checked_broadcast(
+        points.groupBy("cluster").agg(F.sum("copies").alias("rows")).withColumn(
+            "cluster", F.col("cluster").cast("int")
         )
-        .groupBy("point", "own", "cluster")
-        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )
-    own = F.col("own") == F.col("cluster")
-    per_point = sums.groupBy("point").agg(
-        F.max(F.when(own, F.col("n"))).alias("own_n"),
-        F.max(F.when(own, F.try_divide("total", F.col("n") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
+    own = F.col("cluster") == F.col("own")
+    per_point = (
+        sums.join(sizes, "cluster")
+        .join(points.select("point", F.col("cluster").alias("own"), "copies"), "point")
+        .groupBy("point")
+        .agg(
+            F.max("copies").alias("copies"),
+            F.max(F.when(own, F.col("rows"))).alias("own_rows"),
+            F.max(F.when(own, F.try_divide("total", F.col("rows") - 1))).alias("a"),
+            F.min(F.when(~own, F.col("total") / F.col("rows"))).alias("b"),
+        )
     )
-    value = F.when(F.col("own_n") == 1, F.lit(0.0)).otherwise(
+    value = F.when(F.col("own_rows") == 1, F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
     )
-    return per_point.agg(F.avg(value).alias("silhouette_score"), F.count("*").alias("n_samples"))
+    return per_point.agg(
+        (F.sum(value * F.col("copies")) / F.sum("copies")).alias("silhouette_score"),
+        F.sum("copies").alias("n_samples"),
+    )
 
 
 def squared_silhouette(df: DataFrame, features: str = "scaled", cluster: str = "cluster_id") -> float:
@@ -358,15 +373,14 @@ def squared_silhouette(df: DataFrame, features: str = "scaled", cluster: str = "
 
 
 def segment_metrics(
-    df: DataFrame, segmenter: Segmenter, id_column: str = "product_id",
-    metric: str = "euclidean",
+    df: DataFrame, segmenter: Segmenter, metric: str = "euclidean"
 ) -> DataFrame:
     """Silhouette, clusters, samples and variance share, one row."""
     assigned = segmenter.assign(df)
     scaler = segmenter.scaler
     if metric == "euclidean":
         x = F.array(*[scaler.scaled(c) for c in scaler.columns])
-        base = silhouette(assigned, id_column, x, "cluster_id")
+        base = silhouette(assigned, x, "cluster_id")
     else:
         vectors = assigned.withColumn("scaled", scaler.vector())
         score = squared_silhouette(vectors)

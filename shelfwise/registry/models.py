@@ -113,8 +113,8 @@ def confusion_metrics(spark, sf):
     from per_point""",
 )
 def silhouette_euclidean(spark, sf):
-    points = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
-    return models.silhouette(points, "vec_id", F.col("embedding"), "label").select(
+    points = table(spark, sf, "embeddings", "embedding", "label")
+    return models.silhouette(points, F.col("embedding"), "label").select(
         F.round("silhouette_score", 9).alias("silhouette_score"), "n_samples"
     )
 

@@ -28,9 +28,10 @@ def test_silhouette_equals_plain_loop(spark, block_rows):
     x = rng.normal(size=(60, 3))
     labels = rng.integers(0, 3, 60)
     labels[0] = 9
+    x[20:40], labels[20:40] = x[1], labels[1]
     rows = [(i, [float(v) for v in p], int(c)) for i, (p, c) in enumerate(zip(x, labels))]
     df = spark.createDataFrame(rows, "id bigint, x array<double>, c int")
-    got = models.silhouette(df, "id", F.col("x"), "c", block_rows).first()
+    got = models.silhouette(df, F.col("x"), "c", block_rows).first()
     assert got["silhouette_score"] == pytest.approx(brute_silhouette(x, labels))
     assert got["n_samples"] == 60
 
