@@ -367,7 +367,9 @@ def silhouette(df: DataFrame, x: Column, cluster: str, block_rows: int = 2048) -
     )
 
 
-def squared_silhouette(df: DataFrame, features: str = "scaled", cluster: str = "cluster_id") -> float:
+def squared_silhouette(
+    df: DataFrame, features: str = "scaled", cluster: str = "cluster_id"
+) -> float:
     """Mean silhouette with squared Euclidean distance, in time linear in the rows."""
     return ClusteringEvaluator(featuresCol=features, predictionCol=cluster).evaluate(df)
 

@@ -36,8 +36,9 @@ def shop_ranking(spark, sf):
         .agg(F.round(F.sum("l_extendedprice") * 100).cast("bigint").alias("final_score"))
     )
     supplier = table(spark, sf, "supplier")
+    shops = supplier.withColumnRenamed("s_suppkey", "l_suppkey")
     products = (
-        join_split_hot(revenue, supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey", "inner")
+        join_split_hot(revenue, shops, "l_suppkey", "inner")
         .join(table(spark, sf, "part"), F.col("p_partkey") == F.col("l_partkey"))
         .select(
             F.col("s_name").alias("store"),

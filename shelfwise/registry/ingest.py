@@ -88,9 +88,8 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
 
     three = F.array(F.lit(0), F.lit(1), F.lit(2))
     is_empty = (_shop() % 5 == 4) & (key % 20 == 17)
-    shopify_page = F.to_json(
-        F.struct(F.when(is_empty, F.array()).otherwise(F.transform(three, shopify)).alias("products"))
-    )
+    products = F.when(is_empty, F.array()).otherwise(F.transform(three, shopify))
+    shopify_page = F.to_json(F.struct(products.alias("products")))
     woo_page = F.when(is_empty, "[]").otherwise(F.to_json(F.transform(three, woo)))
     pages = spread_table(spark, sf, "part").select(
         _platform().alias("platform"),

@@ -156,7 +156,9 @@ def classifier_probability(spark, sf):
 @query("train_and_score")
 def train_and_score(spark, sf):
     enriched = catalog_table(spark, sf)
-    return train_score.train_and_score(enriched, trees=TREES, restarts=RESTARTS, iterations=ITERATIONS)
+    return train_score.train_and_score(
+        enriched, trees=TREES, restarts=RESTARTS, iterations=ITERATIONS
+    )
 
 
 @query("model_save_load")

@@ -15,8 +15,8 @@ from shelfwise.schemas import SHOPIFY_PRODUCT, WOO_PRODUCT
 
 
 def _variants(make) -> Column:
-    i_list = F.filter(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda i: i < F.col("l_linenumber") % 4)
-    return F.transform(i_list, make)
+    numbers = F.array(F.lit(0), F.lit(1), F.lit(2))
+    return F.transform(F.filter(numbers, lambda i: i < F.col("l_linenumber") % 4), make)
 
 
 def _listing_id() -> Column:

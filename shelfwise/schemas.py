@@ -31,15 +31,6 @@ PRODUCT = T.StructType(
     ]
 )
 
-# Where a product came from; kept beside the product so that two shops may share an id.
-ORIGIN = T.StructType(
-    [
-        T.StructField("platform", T.StringType()),
-        T.StructField("store", T.StringType()),
-        T.StructField("is_imputed", T.BooleanType()),
-    ]
-)
-
 # The five categories of the taxonomy.
 TAXONOMY = ("Electronics", "Apparel", "Home", "Health", "Unknown")
 

@@ -11,12 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators.catalog import (
-    PLATFORMS,
-    map_shopify,
-    map_woo,
-    union_all,
-)
+from shelfwise.operators.catalog import map_shopify, map_woo, union_all
 from shelfwise.session import checked_broadcast
 
 # How many pages per store are read, and how long a page may be.
@@ -99,7 +94,3 @@ def stores_table(spark: SparkSession, stores: Iterable[tuple[str, str]]) -> Data
     """(platform, store) pairs in the order they are read, trailing slashes cut."""
     rows = [(i, platform, store.rstrip("/")) for i, (platform, store) in enumerate(stores)]
     return spark.createDataFrame(rows, "store_ord int, platform string, store string")
-
-
-def known_platform(platform: Column) -> Column:
-    return platform.isin(*PLATFORMS)

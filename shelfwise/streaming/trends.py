@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from shelfwise.session import scratch_path
 
 
-def weekly_activity(records: DataFrame, key: str, at: str, value: str, late: str = "1 day") -> DataFrame:
+def weekly_activity(
+    records: DataFrame, key: str, at: str, value: str, late: str = "1 day"
+) -> DataFrame:
     """Records and summed value (in hundredths) per key and week; late rows are dropped."""
     return (
         records.withColumn("at", F.col(at).cast("timestamp"))
