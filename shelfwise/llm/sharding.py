@@ -72,8 +72,8 @@ def edited(
 ) -> dict[int, int]:
     """The map after rebalancing: slots move only from overfull shards to the lightest one.
 
-    Shards that no longer exist are emptied, new ones start empty. It ends when every shard
-    is within ``slack`` of the mean, or when no single move brings the loads closer.
+    Shards that no longer exist are emptied, new ones start empty. It ends when no shard is
+    above or none below the mean by ``slack``, or when no move brings the loads closer.
     """
     found = {s: old[s] for s in old if old[s] < shards}
     load = [0] * shards
@@ -87,13 +87,13 @@ def edited(
     while True:
         high = max(range(shards), key=lambda x: (load[x], -x))
         low = min(range(shards), key=lambda x: (load[x], x))
-        gap = load[high] - load[low]
-        if max(load[high] - mean, mean - load[low]) <= slack * mean:
+        gap, wanted = load[high] - load[low], min(load[high] - mean, mean - load[low])
+        if wanted <= slack * mean:
             return found
         own = [s for s in found if found[s] == high and 0 < bytes_of.get(s, 0) < gap]
         if not own:
             return found
-        slot = min(own, key=lambda s: (abs(gap / 2 - bytes_of[s]), s))
+        slot = min(own, key=lambda s: (abs(wanted - bytes_of[s]), s))
         found[slot] = low
         load[high] -= bytes_of[slot]
         load[low] += bytes_of[slot]
