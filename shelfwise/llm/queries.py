@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, quality, sharding, simhash
+from shelfwise.llm import language, licenses, mixing, packing, quality, sharding, simhash
 from shelfwise.llm.common import documents, numbered
 from shelfwise.registry import Query
 
@@ -28,6 +30,25 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op3_pack")
+def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed_documents(documents(spark, sf_dir), str(tokenizer))
+
+
+@query("op4_license_scan", licenses.oracle_sql())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Lists become text, which both engines write alike.
+    return licenses.scan(documents(spark, sf_dir)).withColumn(
+        "line_licenses", F.array_join("line_licenses", ",")
+    )
+
+
+@query("op5_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 @query("op8_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir).select("doc_id", "lang", "text")).drop(
