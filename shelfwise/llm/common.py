@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,13 +15,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 __all__ = [
     "WORD",
+    "bucketed",
     "buckets_of",
     "documents",
+    "key_parts",
     "numbered",
     "prefix_sums",
     "schema_of",
     "scratch_path",
-    "text_store",
+    "squeezed",
+    "squeezed_keys",
+    "stashed",
+    "unsqueezed",
+    "unsqueezed_keys",
     "written",
 ]
 
@@ -37,6 +45,24 @@ def numbered(df: DataFrame, name: str, *keep: Column | str) -> DataFrame:
     return written(df.select(*keep, F.monotonically_increasing_id().alias("rid")), name)
 
 
+def stashed(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with only the columns ``used`` under their names, and how to get all back.
+
+    The others travel in one struct, so that their names cannot clash with those that an
+    operator adds.
+    """
+    names = list(dict.fromkeys(used))
+    others = [c for c in docs.columns if c not in names]
+    kept = [F.col(f"`{c}`") for c in names]
+    if others:
+        kept.append(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_others"))
+    back = [
+        (F.col(f"`{c}`") if c in names else F.col("_others").getField(c)).alias(c)
+        for c in docs.columns
+    ]
+    return docs.select(*kept), back
+
+
 def schema_of(df: DataFrame, columns: Sequence[str]) -> str:
     """The schema text of some columns, for functions over Arrow batches."""
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
@@ -46,30 +72,51 @@ def buckets_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_store(docs: DataFrame, name: str) -> DataFrame:
-    """The texts as UTF-8 in a table bucketed by ``block``, with ``rid`` and ``doc_id``.
+def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """``df`` as a table in the shared folder, bucketed by a column.
 
-    Passes that work on one block at a time read it without moving texts again. There are
-    as many blocks as shuffle partitions, so a block is what one task is meant to hold.
+    Groups by that column are then read without a shuffle of the table. There are as many
+    buckets as shuffle partitions.
     """
-    spark = docs.sparkSession
-    count = buckets_of(spark)
-    path = scratch_path(spark, name)
-    table = "texts_" + path.rsplit("-", 1)[1]
-    rows = docs.select(
-        "doc_id",
-        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"),
-        F.monotonically_increasing_id().alias("rid"),
-    ).withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(count)).cast("int"))
+    path = scratch_path(df.sparkSession, name)
+    table = "chunks_" + path.rsplit("-", 1)[1]
     (
-        rows.repartition(count, "block")
-        .write.bucketBy(count, "block")
+        df.write.bucketBy(buckets_of(df.sparkSession), by)
         .format("parquet")
         .option("path", path)
         .option("compression", "zstd")
         .saveAsTable(table)
     )
-    return spark.table(table)
+    return df.sparkSession.table(table)
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """An array of whole numbers as compressed bytes, like bytes beside each other."""
+    raw = np.ascontiguousarray(values)
+    planes = raw.view(np.uint8).reshape(-1, raw.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unsqueezed(data: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def squeezed_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys, compressed as steps."""
+    return squeezed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unsqueezed_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unsqueezed(data, np.uint64), dtype=np.uint64)
+
+
+def key_parts(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Ends of ``parts`` equal ranges of 64-bit keys in sorted ``keys``, led by 0."""
+    bounds = [(i << 64) // parts for i in range(1, parts)]
+    inner = np.searchsorted(keys, np.array(bounds, dtype=np.uint64))
+    return np.concatenate(([0], inner, [len(keys)])).astype(np.int64)
 
 
 def prefix_sums(

@@ -168,29 +168,36 @@ def _fold(doc_id: str) -> Column:
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """The bounded training sample: ``SAMPLE_ROWS`` rows per language, in hash order."""
-    ok = (
+    """The bounded training sample: ``SAMPLE_ROWS`` rows per language, in hash order.
+
+    The cut in the hash order is found on hashes alone; only sampled texts are moved, and
+    equal rows count once.
+    """
+    rows = docs.where(
         F.col("lang").isNotNull()
         & (_fold("doc_id") != 1)
         & F.col("text").isNotNull()
         & (F.length("text") <= SAMPLE_CHARS)
-    )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
-    return (
-        docs.select("doc_id", "lang", "text")
-        .where(ok)
+    ).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    order = Window.partitionBy("lang").orderBy("h")
+    cuts = (
+        rows.select("lang", "h")
+        .distinct()
         .withColumn("nth", F.row_number().over(order))
         .where(F.col("nth") <= SAMPLE_ROWS)
-        .select("lang", "text", "nth")
+        .groupBy("lang")
+        .agg(F.max("h").alias("cut"))
     )
+    chosen = rows.join(written(cuts, "cuts"), "lang").where("h <= cut")
+    return chosen.groupBy("lang", "h").agg(F.first("text").alias("text"))
 
 
 def train(docs: DataFrame) -> list[Model]:
     """A model per language from the sample; the driver gets arrays of bounded size."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        texts = [(n, symbols(t)) for n, t in zip(rows["nth"], rows["text"], strict=True)]
-        texts = sorted(((n, s) for n, s in texts if len(s)), key=lambda x: x[0])
+        ordered = rows.sort_values("h", ignore_index=True)["text"]
+        texts = [(n, s) for n, s in enumerate(map(symbols, ordered), 1) if len(s)]
         if not texts:
             return pd.DataFrame({"lang": [], "name": [], "data": []})
         held = [s for n, s in texts if n % CALIBRATION == 0 and len(s) >= 200]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from shelfwise.llm.common import WORD, numbered, prefix_sums, written
+from shelfwise.llm.common import WORD, numbered, prefix_sums, stashed, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -233,7 +233,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     A document that a pass takes whole keeps its text; of one that the target cuts, the
     words taken are kept, joined by spaces. ``n_chars``, if there, is that of the text.
     """
-    sized = sized_documents(docs, *docs.columns)
+    used = ["doc_id", "source", "text", *(["n_chars"] if "n_chars" in docs.columns else [])]
+    stash, back = stashed(docs, *used)
+    sized = sized_documents(stash, *stash.columns)
     per_source = written(targets(sized, weights, share, most), "targets")
     spans = (
         mixed(sized, per_source, block)
@@ -241,13 +243,11 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share:
         .agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
     )
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    cut = F.array_join(
-        F.slice(words, (F.col("_from") + 1).cast("int"), (F.col("_to") - F.col("_from")).cast("int")),
-        " ",
-    )
+    begin, count = F.col("_from") + 1, F.col("_to") - F.col("_from")
+    cut = F.array_join(F.slice(words, begin.cast("int"), count.cast("int")), " ")
     whole = (F.col("_from") == 0) & (F.col("_to") == F.col("_size"))
     rows = sized.join(spans, "rid").withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
+    if "n_chars" in used:
         kind = docs.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.length("text").cast(kind))
-    return rows.select(*docs.columns)
+    return rows.select(*back)

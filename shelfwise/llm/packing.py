@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ def _encoder(path: str) -> Callable[[bytes], bytes]:
             new = list({w for w, p in zip(words, parts, strict=True) if p is None})
             ids = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
             known.update(
-                (w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, ids, strict=True)
+                (w, pack(f"<{len(e)}I", *e.ids)) for w, e in zip(new, ids, strict=True)
             )
             parts = list(map(known.__getitem__, words))
         return b"".join(parts)

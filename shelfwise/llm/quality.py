@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import schema_of
+from shelfwise.llm.common import schema_of, stashed
 
 COMMON_WORDS = 50
 MIN_WORDS = 50
@@ -213,4 +213,5 @@ def assess(
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``assess`` keeps, with their own columns."""
-    return assess(docs).where("kept").select(*docs.columns)
+    rows, back = stashed(docs, "lang", "text")
+    return assess(rows).where("kept").select(*back)

@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language, licenses, mixing, packing, quality, sharding, simhash
+from shelfwise.llm import (
+    embeddings,
+    language,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    repeats,
+    scoring,
+    sharding,
+    simhash,
+)
 from shelfwise.llm.common import documents, numbered
 from shelfwise.registry import Query
 
@@ -30,6 +42,11 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op2_remove_repeats")
+def remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 @query("op3_pack")
 def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -49,6 +66,16 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+@query("op6_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op7_lm_scores")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scored(documents(spark, sf_dir))
+
+
 @query("op8_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir).select("doc_id", "lang", "text")).drop(
@@ -64,3 +91,8 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_shard")
 def shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(documents(spark, sf_dir))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

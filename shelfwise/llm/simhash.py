@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import numbered, schema_of, written
+from shelfwise.llm.common import numbered, schema_of, stashed, written
 from shelfwise.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -248,10 +248,10 @@ def one_per_group(
 
     Rows without a ``doc_id`` count after all others of their group.
     """
-    stored = numbered(docs, "documents", *docs.columns)
+    rows, back = stashed(docs, "doc_id", "text")
+    stored = numbered(rows, "documents", *rows.columns)
     groups = written(near_duplicates(stored, shingle_words, max_bits), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     first = groups.groupBy("root").agg(F.min(order).alias("first"))
-    return stored.join(first.select(F.col("first.rid").alias("rid")), "rid", "left_semi").select(
-        *docs.columns
-    )
+    chosen = first.select(F.col("first.rid").alias("rid"))
+    return stored.join(chosen, "rid", "left_semi").select(*back)
