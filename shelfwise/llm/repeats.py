@@ -38,9 +38,11 @@ from shelfwise.llm.common import (
 )
 
 LENGTH = 400
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
+#: Hash ranges per shuffle partition; a task merges one range at a time.
+RANGES = 2
 #: Window starts looked at together.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: A window whose surroundings differ in more ways than this is not resolved in one task.
 MANY = 20_000
 
@@ -283,7 +285,7 @@ def merged(runs: list[Iterator[tuple[int, bytes]]]) -> Iterator[tuple[int, int,
 
 def candidates(chunks: DataFrame, length: int, many: int = MANY) -> DataFrame:
     """For every chunk which of its window hashes occur again: 0 no, 1 yes, 2 in many ways."""
-    parts = buckets_of(chunks.sparkSession)
+    parts = RANGES * buckets_of(chunks.sparkSession)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,7 +342,7 @@ def _class_status(chunk: Chunk, right: pa.Table) -> np.ndarray:
 
 def sorted_runs(chunks: DataFrame, answers: DataFrame, length: int) -> DataFrame:
     """Front-coded sorted runs of the suffixes at repeated windows, by range of their hash."""
-    parts = buckets_of(chunks.sparkSession)
+    parts = RANGES * buckets_of(chunks.sparkSession)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         if not (left.num_rows and right.num_rows):
