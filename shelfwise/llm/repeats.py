@@ -38,9 +38,9 @@ from shelfwise.llm.common import (
 )
 
 LENGTH = 400
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 #: Hash ranges per shuffle partition; a task merges one range at a time.
-RANGES = 2
+RANGES = 1
 #: Window starts looked at together.
 SLICE = 1 << 18
 #: A window whose surroundings differ in more ways than this is not resolved in one task.
