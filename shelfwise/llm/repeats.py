@@ -38,9 +38,7 @@ from shelfwise.llm.common import (
 )
 
 LENGTH = 400
-CHUNK_BYTES = 1_000_000
-#: Hash ranges per shuffle partition; a task merges one range at a time.
-RANGES = 1
+CHUNK_BYTES = 4_000_000
 #: Window starts looked at together.
 SLICE = 1 << 18
 #: A window whose surroundings differ in more ways than this is not resolved in one task.
@@ -189,7 +187,9 @@ class Chunk:
         own = where[np.concatenate(([0], cut))]
         shape = ((own - lo).astype(np.uint64) << np.uint64(32)) + (hi - lo).astype(np.uint64)
         text = _mixed((sums[hi + length] - sums[lo]) * inverse[lo] + shape * np.uint64(_BASE))
-        return lo + begin, hi + begin, own + begin, hashes[own], text
+        # Minimizers are small hashes; mixed once more, they spread over the key ranges.
+        key = _mixed(hashes[own] * np.uint64(_BASE))
+        return lo + begin, hi + begin, own + begin, key, text
 
     def offers(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Different keys, where each begins among the classes, its runs and its classes."""
@@ -285,7 +285,7 @@ def merged(runs: list[Iterator[tuple[int, bytes]]]) -> Iterator[tuple[int, int,
 
 def candidates(chunks: DataFrame, length: int, many: int = MANY) -> DataFrame:
     """For every chunk which of its window hashes occur again: 0 no, 1 yes, 2 in many ways."""
-    parts = RANGES * buckets_of(chunks.sparkSession)
+    parts = buckets_of(chunks.sparkSession)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,7 +342,7 @@ def _class_status(chunk: Chunk, right: pa.Table) -> np.ndarray:
 
 def sorted_runs(chunks: DataFrame, answers: DataFrame, length: int) -> DataFrame:
     """Front-coded sorted runs of the suffixes at repeated windows, by range of their hash."""
-    parts = RANGES * buckets_of(chunks.sparkSession)
+    parts = buckets_of(chunks.sparkSession)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         if not (left.num_rows and right.num_rows):
