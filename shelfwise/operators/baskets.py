@@ -51,6 +51,14 @@ def item_support(items: DataFrame) -> DataFrame:
     return items.groupBy("item").agg(F.count("*").alias("freq"))
 
 
+def _least_count(min_support: float, baskets_: int) -> int:
+    """The smallest count whose share of the baskets is not below the support."""
+    count = max(1, math.ceil(min_support * baskets_))
+    while count > 1 and (count - 1) / baskets_ >= min_support:
+        count -= 1
+    return count
+
+
 def frequent_itemsets(
     items: DataFrame, min_support: float = MIN_SUPPORT
 ) -> tuple[DataFrame, int]:
@@ -66,7 +74,7 @@ def frequent_itemsets(
     schema = "items array<string>, freq bigint"
     if n == 0:
         return items.sparkSession.createDataFrame([], schema), 0
-    min_count = max(1, math.ceil(min_support * n))
+    min_count = _least_count(min_support, n)
     frequent = item_support(items).where(F.col("freq") >= min_count).select("item")
     kept = baskets(items.join(checked_broadcast(frequent), "item", "left_semi"))
     kept = written(kept.select("items"), "baskets")
@@ -87,38 +95,42 @@ def rules(
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float | None = MIN_LIFT,
 ) -> DataFrame:
-    """Every split of every item set into antecedent and consequent.
+    """Every split of every item set into antecedent and consequent that is confident.
 
-    The splits of an item set are numbered by bit masks. Supports of both parts are
-    looked up by equality on the sorted arrays (all parts of a frequent set are
-    frequent, so both lookups always hit).
+    A larger consequent leaves a smaller antecedent and so a lower confidence: consequents
+    grow item by item, in the order of the set, from those that reached the confidence.
+    Supports of both parts are looked up by equality on the sorted arrays (all parts of a
+    frequent set are frequent, so both lookups always hit).
     """
     n = F.lit(float(basket_count))
-    masks = F.expr("sequence(1, shiftleft(1, size(items)) - 2)")
-
-    def part(bit: int) -> Column:
-        return F.filter(
-            F.col("items"),
-            lambda _, i: F.getbit(F.col("mask"), i) == bit,
-        )
-
-    splits = (
-        itemsets.where(F.size("items") >= 2)
-        .withColumn("mask", F.explode(masks))
-        .select(
-            part(1).alias("antecedents"), part(0).alias("consequents"), "freq"
-        )
-    )
     left = itemsets.select(
         F.col("items").alias("antecedents"), F.col("freq").alias("ant_freq")
     )
     right = itemsets.select(
         F.col("items").alias("consequents"), F.col("freq").alias("con_freq")
     )
+    grown = itemsets.where(F.size("items") >= 2).select(
+        "items", "freq", F.explode(F.transform("items", lambda x: F.array(x))).alias("consequents")
+    )
+    found = []
+    while True:
+        confident = written(
+            grown.where(F.size("consequents") < F.size("items"))
+            .withColumn("antecedents", F.array_except("items", "consequents"))
+            .join(left, "antecedents")
+            .withColumn("confidence", F.col("freq") / F.col("ant_freq"))
+            .where(F.col("confidence") >= min_confidence),
+            "confident",
+        )
+        found.append(confident)
+        if confident.isEmpty():
+            break
+        later = F.filter("items", lambda x: x > F.element_at("consequents", -1))
+        grown = confident.select("items", "freq", "consequents", F.explode(later).alias("x")).select(
+            "items", "freq", F.concat("consequents", F.array("x")).alias("consequents")
+        )
     out = (
-        splits.join(left, "antecedents")
-        .withColumn("confidence", F.col("freq") / F.col("ant_freq"))
-        .where(F.col("confidence") >= min_confidence)
+        reduce(DataFrame.union, found)
         .join(right, "consequents")
         .withColumn("support", F.col("freq") / n)
         .withColumn("lift", F.col("confidence") / (F.col("con_freq") / n))

@@ -163,12 +163,14 @@ def cap_rows(products: DataFrame, limit: int, store_order: DataFrame) -> DataFra
     hold at most a few hundred products; the page table is as long as the number of
     pages before the cap can be reached, because stores are taken in order.
 
-    ``store_order`` has the columns store and store_ord, one row per store.
+    ``store_order`` has the columns platform, store and store_ord, one row per shop; a
+    name may occur on two platforms. Without a platform, the store alone is the key.
     """
-    page_sizes = products.groupBy("store", "page").agg(F.count("*").alias("page_rows"))
+    shop = [c for c in ("platform", "store") if c in store_order.columns]
+    page_sizes = products.groupBy(*shop, "page").agg(F.count("*").alias("page_rows"))
     # A non-empty page holds at least one row: the first `limit` pages always suffice.
     first_pages = (
-        page_sizes.join(store_order, "store")
+        page_sizes.join(store_order, shop)
         .orderBy("store_ord", "page")
         .limit(limit)
         .withColumn(
@@ -179,12 +181,12 @@ def cap_rows(products: DataFrame, limit: int, store_order: DataFrame) -> DataFra
                 )
             ),
         )
-        .select("store", "page", "store_ord", F.coalesce("before", F.lit(0)).alias("before"))
+        .select(*shop, "page", "store_ord", F.coalesce("before", F.lit(0)).alias("before"))
         .where(F.col("before") < limit)
     )
-    in_page = Window.partitionBy("store", "page").orderBy("pos", "product_id")
+    in_page = Window.partitionBy(*shop, "page").orderBy("pos", "product_id")
     return (
-        products.join(checked_broadcast(first_pages), ["store", "page"])
+        products.join(checked_broadcast(first_pages), [*shop, "page"])
         .withColumn("n", F.row_number().over(in_page))
         .where(F.col("n") <= limit)
         .where(F.col("before") + F.col("n") <= limit)
@@ -212,9 +214,10 @@ def ingest_summary(stores: DataFrame, products: DataFrame) -> DataFrame:
 
     A store fails on an unknown platform or when no valid product came out of it.
     """
-    counts = products.groupBy("store").agg(F.count("*").alias("n"))
+    shop = ["platform", "store"]
+    counts = products.groupBy(*shop).agg(F.count("*").alias("n"))
     known = F.col("platform").isin(*PLATFORMS)
-    joined = stores.join(checked_broadcast(counts), "store", "left").withColumn(
+    joined = stores.join(checked_broadcast(counts), shop, "left").withColumn(
         "ok", F.coalesce(known & (F.col("n") > 0), F.lit(False))
     )
     return joined.agg(

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from shelfwise.functions.impute import id_hash
 from shelfwise.operators import contracts
-from shelfwise.operators.quantiles import DIRECT_ROWS, exact_quantiles, kth_values
+from shelfwise.operators.quantiles import exact_quantiles, kth_values
 from shelfwise.schemas import NON_FEATURES
 
 # The quantile of the label cuts and the floor of each cut.
@@ -72,15 +72,11 @@ def coerce_numbers(df: DataFrame) -> DataFrame:
     )
 
 
-def fit_medians(
-    df: DataFrame, direct_rows: int = DIRECT_ROWS, rows: int | None = None
-) -> Medians:
+def fit_medians(df: DataFrame) -> Medians:
     """Medians of rating and price over coerced rows; zero if a column is empty."""
     q = exact_quantiles(
         df,
         {"rating": (F.col("rating"), 0.5), "price": (F.col("price"), 0.5)},
-        rows=rows,
-        direct_rows=direct_rows,
     )
     return Medians(q["rating"] or 0.0, q["price"] or 0.0)
 
@@ -117,9 +113,7 @@ def add_discount(df: DataFrame) -> DataFrame:
     )
 
 
-def fit_cuts(
-    df: DataFrame, direct_rows: int = DIRECT_ROWS, rows: int | None = None
-) -> Cuts:
+def fit_cuts(df: DataFrame) -> Cuts:
     """The 70 % quantiles of the filled columns, never below their floors."""
     q = exact_quantiles(
         df,
@@ -128,8 +122,6 @@ def fit_cuts(
             "reviews": (F.col("review_count"), LABEL_QUANTILE),
             "discount": (F.col("discount_ratio"), LABEL_QUANTILE),
         },
-        rows=rows,
-        direct_rows=direct_rows,
     )
     return Cuts(
         max(RATING_FLOOR, q["rating"] or 0.0),
@@ -197,16 +189,19 @@ def add_label(df: DataFrame, cuts: Cuts, fallback: Fallback | None = None) -> Da
     return df.withColumn("is_top_product", positive.cast("int"))
 
 
-def fit_vocabulary(df: DataFrame, max_values: int = 1000) -> Vocabulary:
-    """Sorted distinct values of both columns; fails if they are too many for columns.
+def fit_vocabulary(df: DataFrame, max_values: int | None = None) -> Vocabulary:
+    """Sorted distinct values of both columns, all of them unless ``max_values`` is given.
+
+    More than ``max_values`` are an error, for callers that want no wider a table.
 
     Column names do not tell upper from lower case, so values that differ only in case
     share a column, named after the lower-case spelling where there is one.
     """
     names = ("standardized_category", "stock_status")
     cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])
-    rows = df.select(F.explode(cells).alias("c")).select("c.*").distinct().take(max_values + 1)
-    if len(rows) > max_values:
+    found = df.select(F.explode(cells).alias("c")).select("c.*").distinct()
+    rows = found.collect() if max_values is None else found.take(max_values + 1)
+    if max_values is not None and len(rows) > max_values:
         raise ValueError(f"more than {max_values} categories and stock states")
 
     def spellings(name: str) -> tuple[str, ...]:
@@ -266,14 +261,14 @@ def fill(df: DataFrame, medians: Medians) -> DataFrame:
     return add_discount(add_stock_flag(fill_missing(coerce_numbers(df), medians)))
 
 
-def fit(df: DataFrame, direct_rows: int = DIRECT_ROWS) -> FeatureModel:
+def fit(df: DataFrame) -> FeatureModel:
     """Read ``df`` a few times, one small result each: give it as a table, not as a long
     plan (see ``session.written``)."""
     contracts.require_columns(df)
     rows = df.count()
-    medians = fit_medians(coerce_numbers(df), direct_rows, rows)
+    medians = fit_medians(coerce_numbers(df))
     filled = fill(df, medians)
-    cuts = fit_cuts(filled, direct_rows, rows)
+    cuts = fit_cuts(filled)
     return FeatureModel(
         medians, cuts, fit_vocabulary(filled), fit_fallback(filled, cuts, rows)
     )

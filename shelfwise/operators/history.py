@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,36 +22,43 @@ def shop_ranking(products: DataFrame, countries: DataFrame | None = None) -> Dat
 
 
 def trend(
-    snapshots: DataFrame, key: str, at: str, value: str, unit: str = "day"
+    snapshots: DataFrame,
+    key: str,
+    at: str,
+    value: str,
+    unit: str = "day",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Each snapshot beside the one before: previous value, change and direction.
 
     The neighbour is looked up inside (key, day); the first row of a day takes the last
     value of the latest earlier day that has one. So a product with very many snapshots
-    is spread over its days. ``at`` must be unique per key.
+    is spread over its days. Equal times are ordered by the columns ``ties``. Rows whose key
+    or time is null stay; a null time comes before all others.
     """
     dated = snapshots.withColumn("slot", F.date_trunc(unit, F.col(at)))
     by_slot = Window.partitionBy(key).orderBy("slot")
     carried = (
         dated.groupBy(key, "slot")
-        .agg(F.max_by(value, at).alias("last_value"))
+        .agg(F.max_by(F.col(value), F.struct(at, *ties)).alias("last_value"))
         .withColumn("carried", F.lag("last_value").over(by_slot))
-        .select(key, "slot", "carried")
+        .select(F.col(key).alias("_key"), F.col("slot").alias("_slot"), "carried")
     )
-    inside = Window.partitionBy(key, "slot").orderBy(at)
+    inside = Window.partitionBy(key, "slot").orderBy(at, *ties)
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("slot").eqNullSafe(F.col("_slot"))
     previous = F.when(F.row_number().over(inside) == 1, F.col("carried")).otherwise(
         F.lag(value).over(inside)
     )
     change = F.col(value) - F.col("previous")
     return (
-        dated.join(carried, [key, "slot"])
+        dated.join(carried, same, "left")
         .withColumn("previous", previous)
         .withColumn("change", change)
         .withColumn(
             "direction",
             F.when(change > 0, "up").when(change < 0, "down").when(change == 0, "flat"),
         )
-        .drop("slot", "carried")
+        .drop("slot", "carried", "_key", "_slot")
     )
 
 

@@ -1,10 +1,11 @@
 """Exact order statistics over columns of any length.
 
-``percentile`` keeps every distinct value in one task. That is fine for a few million
-rows; beyond, the wanted rank is narrowed down: count the rows per bin between the
-bounds, go on with the bin that holds the rank, stop when the bin holds one value. Each
-pass shuffles at most ``bins`` small rows per wanted rank, and a value that fills a third
-of the table ends up as one counted bin.
+The wanted rank is narrowed down: count the rows per bin between the bounds, go on with
+the bin that holds the rank, stop when the bin holds one value. The first pass bins by
+sign and binary exponent, the others divide a range within a binade or two evenly, so
+that heavy tails and infinities need no more passes than other data: six at most with
+2048 bins. Each pass shuffles at most ``bins`` small rows per wanted rank, and a value
+that fills a third of the table ends up as one counted bin.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 2_000_000
+#: Beyond the binary exponent of every finite double, both ways.
+_EXPONENTS = 3000.0
 
 
 @dataclass
@@ -46,6 +48,7 @@ def _profile(values: DataFrame) -> dict[str, tuple[int, float, float]]:
 def _narrow(values: DataFrame, searches: list[_Search], bins: int) -> dict:
     """Resolve all searches; every pass reads ``values`` once."""
     found: dict[tuple[str, int], float] = {}
+    by_exponent = True
     while True:
         for s in searches:
             if s.lo == s.hi:
@@ -57,13 +60,20 @@ def _narrow(values: DataFrame, searches: list[_Search], bins: int) -> dict:
         cells = []
         for i, (column, lo, hi) in enumerate(windows):
             v = F.col(column)
-            position = F.floor((v - lo) / F.lit(hi - lo) * bins).cast("int")
+            if by_exponent:
+                size = F.least(F.log2(F.abs(v)) + 1100, F.lit(_EXPONENTS))
+                place = F.when(v == 0, 0.0).otherwise(F.signum(v) * size) + _EXPONENTS
+                position = F.floor(place / (2 * _EXPONENTS) * (2 * bins)).cast("int")
+                last = 2 * bins
+            else:
+                position = F.floor((v - lo) / F.lit(hi - lo) * bins).cast("int")
+                last = bins - 1
             cells.append(
                 F.when(
                     v.between(lo, hi),
                     F.struct(
                         F.lit(i).alias("w"),
-                        F.least(position, F.lit(bins - 1)).alias("bin"),
+                        F.least(position, F.lit(last)).alias("bin"),
                         v.alias("v"),
                     ),
                 )
@@ -75,6 +85,7 @@ def _narrow(values: DataFrame, searches: list[_Search], bins: int) -> dict:
             .agg(F.count("*").alias("n"), F.min("c.v").alias("lo"), F.max("c.v").alias("hi"))
             .collect()
         )
+        by_exponent = False
         by_window: dict[int, list] = {}
         for r in sorted(counted, key=lambda r: (r["w"], r["bin"])):
             by_window.setdefault(r["w"], []).append(r)
@@ -105,21 +116,10 @@ def kth_values(
 
 
 def exact_quantiles(
-    df: DataFrame,
-    wanted: dict[str, tuple[Column, float]],
-    *,
-    rows: int | None = None,
-    direct_rows: int = DIRECT_ROWS,
-    bins: int = 2048,
+    df: DataFrame, wanted: dict[str, tuple[Column, float]], *, bins: int = 2048
 ) -> dict[str, float | None]:
-    """Quantiles with linear interpolation between neighbours; None for an empty column.
-
-    ``rows`` is the length of ``df`` if it is known already.
-    """
+    """Quantiles with linear interpolation between neighbours; None for an empty column."""
     values = _numbers(df, {n: c for n, (c, _) in wanted.items()})
-    if (values.count() if rows is None else rows) <= direct_rows:
-        row = values.agg(*[F.percentile(n, F.lit(q)).alias(n) for n, (_, q) in wanted.items()])
-        return row.first().asDict()
     profile = _profile(values)
     searches, places = [], {}
     for name, (_, q) in wanted.items():
@@ -134,5 +134,6 @@ def exact_quantiles(
     out: dict[str, float | None] = dict.fromkeys(wanted)
     for name, (below, above, part) in places.items():
         low, high = found[name, below], found[name, above]
-        out[name] = low + (high - low) * part
+        # Equal neighbours may be infinite, and their difference no number.
+        out[name] = low if part == 0 or low == high else low + (high - low) * part
     return out

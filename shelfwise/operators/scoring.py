@@ -107,13 +107,16 @@ def attach_products(ranked: DataFrame, products: DataFrame) -> DataFrame:
     """
     small = pinned(ranked)
     ranked = ranked if small is None else small
-    ids = checked_broadcast(ranked.select("product_id"))
-    reduced = products.join(ids, "product_id", "left_semi")
-    scores = ranked.select("product_id", *[c for c in SCORE_COLUMNS if c in ranked.columns])
-    return scores.join(checked_broadcast(reduced), "product_id", "left").select(
+    both = set(ranked.columns) & set(products.columns)
+    # Two shops may share an id: platform and store belong to the key where they are known.
+    key = [c for c in ("platform", "store", "product_id") if c in both]
+    ids = checked_broadcast(ranked.select(*key))
+    reduced = products.join(ids, key, "left_semi")
+    scores = ranked.select(*key, *[c for c in SCORE_COLUMNS if c in ranked.columns])
+    return scores.join(checked_broadcast(reduced), key, "left").select(
         "product_id",
         *[c for c in products.columns if c != "product_id"],
-        *[c for c in scores.columns if c != "product_id"],
+        *[c for c in scores.columns if c not in key],
     )
 
 

@@ -16,10 +16,13 @@ def split_key(id_column: str) -> Column:
     return id_hash(F.col(id_column).cast("string"), 13).cast("double")
 
 
-def class_counts(df: DataFrame, label: str, max_classes: int = 1000) -> dict[int, int]:
-    """Rows per class; fails if the label has too many values to be one."""
-    rows = df.groupBy(label).agg(F.count("*").alias("n")).take(max_classes + 1)
-    if len(rows) > max_classes:
+def class_counts(
+    df: DataFrame, label: str, max_classes: int | None = None
+) -> dict[int, int]:
+    """Rows per class; more than ``max_classes`` are an error if the caller sets it."""
+    found = df.groupBy(label).agg(F.count("*").alias("n"))
+    rows = found.collect() if max_classes is None else found.take(max_classes + 1)
+    if max_classes is not None and len(rows) > max_classes:
         raise ValueError(f"{label!r} has more than {max_classes} classes")
     return {r[label]: r["n"] for r in rows}
 

@@ -6,14 +6,12 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.operators import catalog, contracts
 from shelfwise.session import checked_broadcast, written
 from shelfwise.sources import pages as page_source
 
-# Fixed value: products kept over all stores.
-MAX_PRODUCTS = 3000
-
 
 @dataclass
 class Catalogue:
@@ -26,25 +24,33 @@ def ingest_pages(
     pages: DataFrame,
     stores: DataFrame,
     *,
-    max_products: int | None = MAX_PRODUCTS,
+    max_products: int | None = None,
     dedupe: bool = False,
 ) -> Catalogue:
     """Products, set-aside rows and run summary. ``stores`` lists what should be there.
 
     Payloads are parsed once: the checked products are written as a table, and all three
-    results read from it.
+    results read from it. All products are kept unless ``max_products`` caps them; the
+    summary counts what is kept, and stores after the one that reached the cap count
+    neither as good nor as failed.
     """
     wanted = checked_broadcast(stores.select("platform", "store"))
     chosen = pages.join(wanted, ["platform", "store"], "left_semi")
     checked = written(page_source.checked_products(chosen), "checked-products")
     products = contracts.valid(checked)
-    summary = catalog.ingest_summary(stores, products)
     if dedupe:
         products = catalog.dedupe_products(products)
     if max_products is not None:
         products = catalog.cap_rows(
-            products, max_products, stores.select("store", "store_ord")
+            products, max_products, stores.select("platform", "store", "store_ord")
         )
+        reached = products.agg(F.count("*").alias("kept"), F.max("store_ord").alias("last"))
+        stores = (
+            stores.join(F.broadcast(reached))  # one row
+            .where((F.col("kept") < max_products) | (F.col("store_ord") <= F.col("last")))
+            .select(*stores.columns)
+        )
+    summary = catalog.ingest_summary(stores, products)
     rejected = contracts.quarantine(
         checked, ("platform", "store", "page", "pos", "product_id")
     )

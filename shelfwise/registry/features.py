@@ -49,7 +49,7 @@ def medians(spark, sf):
     from lineitem""",
 )
 def exact_quantiles(spark, sf):
-    """By narrowing down ranks, the way used beyond a few million rows."""
+    """By narrowing down ranks."""
     price, discount = F.col("l_extendedprice"), F.col("l_discount")
     q = quantiles.exact_quantiles(
         table(spark, sf, "lineitem", "l_extendedprice", "l_discount", "l_suppkey"),
@@ -59,7 +59,6 @@ def exact_quantiles(spark, sf):
             "discount_cut": (discount, 0.7),
             "supplier_cut": (F.col("l_suppkey"), 0.99),
         },
-        direct_rows=0,
     )
     row = [tuple(round(v, 6) for v in q.values())]
     return spark.createDataFrame(row, ", ".join(f"{n} double" for n in q))

@@ -222,7 +222,7 @@ def ingest_summary(spark, sf):
     where row_no <= 3000""",
 )
 def catalog_cap(spark, sf):
-    found = ingest.ingest_pages(landed(spark, sf), stores(spark, sf))
+    found = ingest.ingest_pages(landed(spark, sf), stores(spark, sf), max_products=3000)
     capped = found.products.select(*_OUT, "row_no")
     return capped.withColumns({c: F.col(c).cast("bigint") for c in ("page", "pos")})
 

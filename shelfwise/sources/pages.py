@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators.catalog import map_shopify, map_woo, union_all
 from shelfwise.session import checked_broadcast
 
-# How many pages per store are read, and how long a page may be.
-MAX_PAGES = 20
+# How long a page may be.
 SHOPIFY_PAGE_SIZE = 250
 WOO_PAGE_SIZE = 100
 
@@ -43,33 +42,40 @@ def woo_items(payload: Column) -> Column:
     return F.coalesce(items, F.array().cast("array<string>"))
 
 
-def page_products(pages: DataFrame, items: Column, max_pages: int = MAX_PAGES) -> DataFrame:
+def page_products(
+    pages: DataFrame, items: Column, max_pages: int | None = None
+) -> DataFrame:
     """One row per raw product, up to the first empty page of its store.
 
+    All landed pages are read unless ``max_pages`` says otherwise.
+
     The first empty page is found in a pass of its own over (store, page, length), so
     the payloads themselves never move between tasks.
     """
-    read = pages.where(F.col("page").between(1, max_pages)).withColumn("items", items)
+    wanted = F.col("page") >= 1
+    if max_pages is not None:
+        wanted = wanted & (F.col("page") <= max_pages)
+    read = pages.where(wanted).withColumn("items", items)
     stops = (
         read.where(F.size("items") == 0)
-        .groupBy("store")
+        .groupBy("platform", "store")
         .agg(F.min("page").alias("first_empty"))
     )
     return (
-        read.join(checked_broadcast(stops), "store", "left")
+        read.join(checked_broadcast(stops), ["platform", "store"], "left")
         .where(F.col("first_empty").isNull() | (F.col("page") < F.col("first_empty")))
         .select("platform", "store", "page", F.posexplode("items").alias("pos", "raw"))
     )
 
 
-def shopify_products(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+def shopify_products(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Checked products of Shopify pages."""
     chosen = pages.where(F.col("platform") == "shopify")
     return map_shopify(page_products(chosen, shopify_items(F.col("payload")), max_pages))
 
 
 def woo_products(
-    pages: DataFrame, max_pages: int = MAX_PAGES, minor_unit_digits: int = 2
+    pages: DataFrame, max_pages: int | None = None, minor_unit_digits: int = 2
 ) -> DataFrame:
     """Checked products of WooCommerce pages."""
     chosen = pages.where(F.col("platform") == "woocommerce")
@@ -77,15 +83,19 @@ def woo_products(
     return map_woo(raw, minor_unit_digits)
 
 
-def read_shopify_pages(spark: SparkSession, root: str, max_pages: int = MAX_PAGES) -> DataFrame:
+def read_shopify_pages(
+    spark: SparkSession, root: str, max_pages: int | None = None
+) -> DataFrame:
     return shopify_products(read_pages(spark, root), max_pages)
 
 
-def read_woo_pages(spark: SparkSession, root: str, max_pages: int = MAX_PAGES) -> DataFrame:
+def read_woo_pages(
+    spark: SparkSession, root: str, max_pages: int | None = None
+) -> DataFrame:
     return woo_products(read_pages(spark, root), max_pages)
 
 
-def checked_products(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+def checked_products(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Products of both platforms with the reasons that speak against them."""
     return union_all([shopify_products(pages, max_pages), woo_products(pages, max_pages)])
 

@@ -24,7 +24,7 @@ SETTINGS = settings(
 def test_quantiles_by_narrowing(spark, values, q):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     wanted = {"v": (F.col("v"), q)}
-    got = quantiles.exact_quantiles(df, wanted, direct_rows=0, bins=4)["v"]
+    got = quantiles.exact_quantiles(df, wanted, bins=4)["v"]
     assert got == pytest.approx(float(np.quantile(values, q)), rel=1e-12, abs=1e-12)
     assert got == pytest.approx(quantiles.exact_quantiles(df, wanted)["v"], rel=1e-9, abs=1e-9)
 
@@ -40,8 +40,26 @@ def test_kth_values_with_a_dominant_value(spark):
 
 def test_empty_column(spark):
     df = spark.createDataFrame([(None,)], "v double")
-    for rows in (0, 10):
-        assert quantiles.exact_quantiles(df, {"v": (F.col("v"), 0.5)}, direct_rows=rows) == {"v": None}
+    assert quantiles.exact_quantiles(df, {"v": (F.col("v"), 0.5)}) == {"v": None}
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1.0, 2.0, 3.0, 4.0, float("inf")],
+        [-float("inf"), -1e308, -1.0, 0.0, 5e-324, 1e308, float("inf"), float("inf")],
+        [7.0] * 400 + [float(i) for i in range(800)],
+        [2.0**k for k in range(-1000, 1000, 7)],
+    ],
+)
+def test_ranks_of_wide_ranges(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    wanted = {f"r{r}": (F.col("v"), r) for r in range(0, len(values), max(1, len(values) // 9))}
+    got = quantiles.kth_values(df, wanted)
+    ordered = sorted(values)
+    assert all(got[f"r{r}"] == ordered[r] for _, r in wanted.values())
+    middle = quantiles.exact_quantiles(df, {"v": (F.col("v"), 1.0)})["v"]
+    assert middle == ordered[-1]
 
 
 CATALOG = (
@@ -76,7 +94,7 @@ def test_narrowing_fits_the_same_model(spark, sf):
     from shelfwise.registry.data import catalog_table
 
     df = catalog_table(spark, sf)
-    a, b = features.fit(df), features.fit(df, direct_rows=0)
+    a, b = features.fit(df), features.fit(df.repartition(3))
     assert a.medians.price == pytest.approx(b.medians.price)
     assert a.cuts.discount == pytest.approx(b.cuts.discount)
     assert a.vocabulary == b.vocabulary

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from shelfwise.operators import baskets
+from shelfwise.operators import baskets, catalog
 
 
 def brute_force(found, min_support, min_confidence, min_lift):
@@ -72,3 +72,34 @@ def test_pool_is_limited_per_category(spark):
     pool = baskets.best_seller_pool(df)
     assert pool.groupBy("category").count().collect() and pool.count() == 16
     assert "WindowGroupLimit" in pool._jdf.queryExecution().toString()
+
+
+def test_support_is_compared_as_a_share(spark):
+    rows = [(i, "a") for i in range(7)] + [(i, "b") for i in range(100)]
+    items = spark.createDataFrame(rows, "basket_id int, item string")
+    sets, n = baskets.frequent_itemsets(items, 0.07)
+    assert n == 100
+    assert {tuple(r["items"]): r["freq"] for r in sets.collect()} == {
+        ("a",): 7, ("b",): 100, ("a", "b"): 7
+    }
+
+
+def test_long_sets_grow_only_confident_consequents(spark):
+    whole = [f"i{k:02d}" for k in range(25)]
+    small = [([x], 1000) for x in whole] + [([x for x in whole if x != y], 10) for y in whole]
+    itemsets = spark.createDataFrame([(whole, 10), *small], "items array<string>, freq bigint")
+    got = baskets.rules(itemsets, 1000, 0.9, None)
+    assert got.where("size(antecedents) = 24 and size(consequents) = 1").count() == 25
+
+
+def test_same_store_name_on_two_platforms(spark):
+    rows = [("shopify", "s", 1, 0, "a"), ("shopify", "s", 1, 1, "b"), ("woocommerce", "s", 1, 0, "a")]
+    schema = "platform string, store string, page int, pos int, product_id string"
+    products = spark.createDataFrame(rows, schema)
+    stores = spark.createDataFrame(
+        [(0, "shopify", "s"), (1, "woocommerce", "s"), (2, "shopify", "t")],
+        "store_ord int, platform string, store string",
+    )
+    capped = catalog.cap_rows(products, 10, stores.select("platform", "store", "store_ord"))
+    assert capped.count() == 3
+    assert tuple(catalog.ingest_summary(stores, products).first()) == (2, 1, 3)
