@@ -25,6 +25,8 @@ WINDOW = 1.0
 MISSED = 1e-4
 #: Longer lists are dealt over pairs of tiles of about this many vectors.
 TILE = 1024
+#: Vectors of a list that meet the others of it at a time.
+BLOCK = 16
 SEED = 11
 
 
@@ -124,6 +126,18 @@ def unit_vectors(table: DataFrame) -> DataFrame:
     )
 
 
+def joined(roots: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest place in reach of every place, once the places i and j are linked too."""
+    while True:
+        low, high = np.minimum(roots[i], roots[j]), np.maximum(roots[i], roots[j])
+        if (low == high).all():
+            return roots
+        roots = roots.copy()
+        np.minimum.at(roots, high, low)
+        while (roots[roots] != roots).any():
+            roots = roots[roots]
+
+
 PAIRS = "a long, b long, n long"
 
 
@@ -145,29 +159,36 @@ def counted_pairs(live: DataFrame, cosine: float, lists: dict[int, tuple[int, in
         tile = np.array([r[0] for r in rows])
         nth = rows[0][1]
         cid = np.array([r[2] for r in rows])
-        times = np.array([r[3] for r in rows])
-        keys = list_keys(x, cosine, many)
+        times = np.array([r[3] for r in rows], dtype=np.int64)
+        before = list_keys(x, cosine, many)[:, :nth].T
         spots = x @ counted.T
         half = WINDOW * _distance(cosine) / np.sqrt(dim)
         across = tile.min() != tile.max()
-        for i in range(len(rows) - 1):
-            j = np.arange(i + 1, len(rows))
+        linked = np.zeros(len(rows), dtype=np.int64)
+        roots = np.arange(len(rows))
+        for start in range(0, len(rows), BLOCK):
+            block = np.arange(start, min(start + BLOCK, len(rows)))
+            met = np.arange(start, len(rows)) > block[:, None]
             if across:
-                j = j[tile[j] != tile[i]]
-            j = j[(np.abs(spots[j] - spots[i]) <= half).sum(axis=1) >= least]
-            j = j[x[j] @ x[i] >= cosine - 1e-12]
-            if len(j):
-                exact = np.array([float(np.dot(x[k], x[i])) for k in j])
-                j = j[exact >= cosine]
-            if len(j):
-                j = j[(keys[j] == keys[i]).argmax(axis=1) == nth]
-            for k in j.tolist():
-                found_n[cid[i]] = found_n.get(cid[i], 0) + int(times[k])
-                found_n[cid[k]] = found_n.get(cid[k], 0) + int(times[i])
-            if len(j):
-                found_links.update((int(cid[i]), int(c)) for c in cid[j[:1]])
-                # The others hang on the first of them: a chain joins the same.
-                found_links.update(zip(cid[j[:-1]].tolist(), cid[j[1:]].tolist(), strict=True))
+                met &= tile[start:] != tile[block][:, None]
+            i, j = np.nonzero(met)
+            i, j = i + start, j + start
+            # Copies share most lists: what an earlier list has counted leaves first.
+            for key in before:
+                new = key[i] != key[j]
+                i, j = i[new], j[new]
+            near = (np.abs(spots[i] - spots[j]) <= half).sum(axis=1) >= least
+            i, j = i[near], j[near]
+            found = np.einsum("pd,pd->p", x[i], x[j])
+            for p in np.flatnonzero(np.abs(found - cosine) < 1e-9).tolist():
+                found[p] = np.dot(x[i[p]], x[j[p]])
+            i, j = i[found >= cosine], j[found >= cosine]
+            np.add.at(linked, i, times[j])
+            np.add.at(linked, j, times[i])
+            roots = joined(roots, i, j)
+        for k in np.flatnonzero(linked).tolist():
+            found_n[cid[k]] = found_n.get(cid[k], 0) + int(linked[k])
+        found_links.update(zip(cid.tolist(), cid[roots].tolist(), strict=True))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, at = [], None
