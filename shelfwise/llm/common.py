@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from shelfwise.session import scratch_path, written
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of a batch of rows that goes to Python, but for one longer row.
+BATCH_BYTES = "4m"
 
 __all__ = [
     "WORD",
@@ -19,6 +22,7 @@ __all__ = [
     "buckets_of",
     "documents",
     "key_parts",
+    "map_batches",
     "numbered",
     "prefix_sums",
     "schema_of",
@@ -63,6 +67,26 @@ def stashed(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
     return docs.select(*kept), back
 
 
+def map_batches(
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """``mapInArrow`` over batches of ``BATCH_BYTES``, for rows that hold whole texts.
+
+    Spark's batches of 64 MB exist several times at once, in the JVM's Arrow buffers and
+    in the worker, and both keep that memory for the next task. The smaller bound stays set
+    in the session, as Spark reads it when the plan runs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def schema_of(df: DataFrame, columns: Sequence[str]) -> str:
     """The schema text of some columns, for functions over Arrow batches."""
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import schema_of, written
+from shelfwise.llm.common import map_batches, schema_of, written
 
 ORDER = 4
 BITS = 16
@@ -294,7 +294,8 @@ def identify(docs: DataFrame, models: list[Model] | None = None) -> DataFrame:
                 ["doc_id", "held_out", "lang_pred", "score", "accepted"],
             )
 
-    return rows.mapInArrow(
+    return map_batches(
+        rows,
         predict,
         schema_of(rows, ["doc_id", "held_out"]) + ", lang_pred string, score double, accepted boolean",
     )

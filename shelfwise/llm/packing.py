@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import written
+from shelfwise.llm.common import map_batches, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -97,7 +97,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return map_batches(
+        docs.select("doc_id", "text"),
         cut,
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, nth long",
     )

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import schema_of, stashed
+from shelfwise.llm.common import map_batches, schema_of, stashed
 
 COMMON_WORDS = 50
 MIN_WORDS = 50
@@ -121,10 +121,11 @@ def reference(docs: DataFrame, common_words: int = COMMON_WORDS) -> list[dict]:
         for lang, counts in classes.items():
             yield rows("class", lang, [c.encode() for c in CLASSES], counts.tolist())
 
+    known = docs.select("lang", "text").where(
+        F.col("lang").isNotNull() & F.col("text").isNotNull()
+    )
     counted = (
-        docs.select("lang", "text")
-        .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .mapInArrow(count, "lang string, kind string, item binary, n long")
+        map_batches(known, count, "lang string, kind string, item binary, n long")
         .groupBy("lang", "kind", "item")
         .agg(F.sum("n").alias("n"))
     )
@@ -208,7 +209,7 @@ def assess(
                 [*(batch.column(c) for c in keep), *arrays], [*keep, *names]
             )
 
-    return docs.mapInArrow(check, f"{schema_of(docs, keep)}, {OUTPUT}")
+    return map_batches(docs, check, f"{schema_of(docs, keep)}, {OUTPUT}")
 
 
 def good_documents(docs: DataFrame) -> DataFrame:

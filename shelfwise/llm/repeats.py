@@ -28,6 +28,7 @@ from shelfwise.llm.common import (
     bucketed,
     buckets_of,
     key_parts,
+    map_batches,
     numbered,
     squeezed,
     squeezed_keys,
@@ -102,8 +103,10 @@ def text_chunks(docs: DataFrame, key: str) -> DataFrame:
         if bodies:
             yield out()
 
-    chunks = docs.select(key, "text").mapInArrow(
-        cut, f"chunk long, keys array<{kind}>, ends array<long>, body binary"
+    chunks = map_batches(
+        docs.select(key, "text"),
+        cut,
+        f"chunk long, keys array<{kind}>, ends array<long>, body binary",
     )
     return bucketed(chunks, "text-chunks", "chunk")
 
@@ -328,7 +331,7 @@ def candidates(chunks: DataFrame, length: int, many: int = MANY) -> DataFrame:
             ]
         )
 
-    asked = chunks.mapInArrow(ask, _ddl(ASK))
+    asked = map_batches(chunks, ask, _ddl(ASK))
     return written(asked.groupBy("part").applyInArrow(answer, _ddl(ANSWER)), "candidates")
 
 
@@ -603,7 +606,7 @@ def unrepeated_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 [batch.column("rid"), pa.array(texts, pa.string())], ["rid", "_text"]
             )
 
-    texts = kept.mapInArrow(read, "rid long, _text string")
+    texts = map_batches(kept, read, "rid long, _text string")
     joined = stored.join(texts, "rid", "left")
     if "n_chars" in used:
         chars = F.length("_text").cast(docs.schema["n_chars"].dataType)

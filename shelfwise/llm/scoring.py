@@ -15,6 +15,7 @@ from shelfwise.llm.common import (
     bucketed,
     buckets_of,
     key_parts,
+    map_batches,
     squeezed,
     squeezed_keys,
     unsqueezed,
@@ -95,7 +96,8 @@ def token_chunks(docs: DataFrame) -> DataFrame:
             yield out()
 
     rows = docs.select("doc_id", _held_out("doc_id").alias("held"), "text")
-    chunks = rows.mapInArrow(
+    chunks = map_batches(
+        rows,
         cut,
         f"chunk long, doc_ids array<{kind.simpleString()}>, held array<boolean>, "
         "ends array<long>, words binary, tokens binary",
@@ -179,7 +181,7 @@ def counted(chunks: DataFrame) -> tuple[DataFrame, int, int]:
         return pa.Table.from_batches([_rows(rows, ANSWER)])
 
     answers = written(
-        chunks.mapInArrow(ask, _ddl(ASK)).groupBy("part").applyInArrow(answer, _ddl(ANSWER)),
+        map_batches(chunks, ask, _ddl(ASK)).groupBy("part").applyInArrow(answer, _ddl(ANSWER)),
         "totals",
     )
     total, different = answers.where(F.col("chunk").isNull()).agg(F.sum("n"), F.sum("v")).first()

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import numbered, schema_of, stashed, written
+from shelfwise.llm.common import map_batches, numbered, schema_of, stashed, written
 from shelfwise.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
                 [*(batch.column(c) for c in keep), fp], [*keep, "fp"]
             )
 
-    return docs.mapInArrow(mark, schema_of(docs, keep) + ", fp long")
+    return map_batches(docs, mark, schema_of(docs, keep) + ", fp long")
 
 
 def _keys(values: np.ndarray, chosen: tuple[int, ...], number: int) -> np.ndarray:
