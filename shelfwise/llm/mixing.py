@@ -154,11 +154,18 @@ def stream_pieces(sized: DataFrame, per_source: DataFrame, block: int = BLOCK) -
     a hash, repeated until the target is full.
     """
     parted = written(
-        sized.where("_size > 0").withColumn("_part", F.pmod("_place", F.lit(STREAM_PARTS))),
+        sized.where("_size > 0").select(
+            "rid",
+            "_key",
+            "_size",
+            "_place",
+            "doc_id",
+            F.pmod("_place", F.lit(STREAM_PARTS)).alias("_part"),
+        ),
         "parted",
     )
     placed = prefix_sums(
-        parted.select("rid", "_key", "_size", "_place", "_part", "doc_id"),
+        parted,
         ["_key"],
         "_part",
         [F.col("_place"), F.col("doc_id"), F.col("rid")],
