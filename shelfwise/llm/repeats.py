@@ -23,13 +23,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.llm.common import (
     bucketed,
     buckets_of,
     key_parts,
     map_batches,
-    numbered,
     squeezed,
     squeezed_keys,
     stashed,
@@ -69,7 +69,13 @@ def _rows(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
 
 def text_chunks(docs: DataFrame, key: str) -> DataFrame:
     """Texts as UTF-8, many to a chunk, with their ``key``: a table bucketed by ``chunk``."""
-    kind = docs.schema[key].dataType.simpleString()
+    schema = (
+        T.StructType()
+        .add("chunk", "long")
+        .add("keys", T.ArrayType(docs.schema[key].dataType))
+        .add("ends", T.ArrayType(T.LongType()))
+        .add("body", "binary")
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
@@ -103,11 +109,7 @@ def text_chunks(docs: DataFrame, key: str) -> DataFrame:
         if bodies:
             yield out()
 
-    chunks = map_batches(
-        docs.select(key, "text"),
-        cut,
-        f"chunk long, keys array<{kind}>, ends array<long>, body binary",
-    )
+    chunks = map_batches(docs.select(key, "text"), cut, schema)
     return bucketed(chunks, "text-chunks", "chunk")
 
 
@@ -514,7 +516,11 @@ def repeated_by_digest(chunks: DataFrame, answers: DataFrame, length: int) -> Da
 
 
 def without_repeats(
-    docs: DataFrame, key: str = "doc_id", length: int = LENGTH, many: int = MANY
+    docs: DataFrame,
+    key: str = "doc_id",
+    length: int = LENGTH,
+    many: int = MANY,
+    as_text: bool = False,
 ) -> DataFrame:
     """Every text without the bytes that a repeated string of ``length`` bytes covers.
 
@@ -523,7 +529,9 @@ def without_repeats(
     starts anywhere else, in the same text or another; all its occurrences go, and strings
     are judged on the input. Matches never cross texts. A null text is an empty one; texts
     shorter than ``length`` stay whole; equal rows remove each other's texts. Windows found in
-    more than ``many`` ways are counted string by string instead of in one task.
+    more than ``many`` ways are counted string by string instead of in one task. ``key`` may be
+    of any type. With ``as_text`` ``kept`` is a string, without what is left of characters that
+    were cut.
     """
     chunks = text_chunks(docs, key)
     answers = candidates(chunks, length, many)
@@ -531,7 +539,15 @@ def without_repeats(
     if answers.where("many > 0").limit(1).count():
         found = found.union(repeated_by_digest(chunks, answers, length))
     found = written(found, "repeated")
-    kind = docs.schema[key].dataType.simpleString()
+    schema = (
+        T.StructType()
+        .add(key, chunks.schema["keys"].dataType.elementType)
+        .add("n_bytes", "long")
+        .add("n_removed", "long")
+        .add("n_spans", "long")
+        .add("kept_sha256", "string")
+        .add("kept", "string" if as_text else "binary")
+    )
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left, 0, length)
@@ -566,6 +582,8 @@ def without_repeats(
             kept.append(body[start:end][~gone].tobytes() if n else chunk.body[start:end])
             digests.append(hashlib.sha256(kept[-1]).hexdigest())
             start = end
+        if as_text:
+            kept = [k.decode(errors="ignore") for k in kept]
         return pa.table(
             {
                 key: chunk.doc_keys,
@@ -573,19 +591,11 @@ def without_repeats(
                 "n_removed": pa.array(removed, pa.int64()),
                 "n_spans": pa.array(spans, pa.int64()),
                 "kept_sha256": pa.array(digests, pa.string()),
-                "kept": pa.array(kept, pa.binary()),
+                "kept": pa.array(kept, pa.string() if as_text else pa.binary()),
             }
         )
 
-    return (
-        chunks.groupBy("chunk")
-        .cogroup(found.groupBy("chunk"))
-        .applyInArrow(
-            cut,
-            f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-            "kept binary",
-        )
-    )
+    return chunks.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(cut, schema)
 
 
 def unrepeated_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -596,20 +606,15 @@ def unrepeated_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     used = ["text", "n_chars"] if "n_chars" in docs.columns else ["text"]
     rows, back = stashed(docs, *used)
-    stored = numbered(rows, "documents", *rows.columns)
-    kept = without_repeats(stored, "rid", length).where("n_removed > 0").select("rid", "kept")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [b.as_py().decode(errors="ignore") for b in batch.column("kept")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), pa.array(texts, pa.string())], ["rid", "_text"]
-            )
-
-    texts = map_batches(kept, read, "rid long, _text string")
-    joined = stored.join(texts, "rid", "left")
+    # The other columns travel with the texts, so that no second copy of the texts is stored.
+    others = [c for c in rows.columns if c != "text"]
+    row = F.struct(*others, F.col("text").isNull().alias("_none")).alias("_row")
+    left = without_repeats(rows.select(row, "text"), "_row", length, as_text=True)
+    texts = left.select(
+        "n_removed", *(f"_row.{c}" for c in others), F.when(~F.col("_row._none"), F.col("kept")).alias("text")
+    )
     if "n_chars" in used:
-        chars = F.length("_text").cast(docs.schema["n_chars"].dataType)
-        whole = F.col("_text").isNull()
-        joined = joined.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(chars))
-    return joined.withColumn("text", F.coalesce("_text", "text")).select(*back)
+        chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = F.col("n_removed") > 0
+        texts = texts.withColumn("n_chars", F.when(changed, chars).otherwise(F.col("n_chars")))
+    return texts.select(*back)
