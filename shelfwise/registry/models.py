@@ -18,12 +18,6 @@ from shelfwise.registry.data import (
 from shelfwise.session import scratch_path, written
 from shelfwise.sources import artifacts
 
-# Fits in these queries take fewer trees, restarts and iterations than the defaults of the
-# library; they read all rows.
-TREES = 10
-RESTARTS = 2
-ITERATIONS = 20
-
 
 @query(
     "scaled_features",
@@ -122,7 +116,7 @@ def silhouette_euclidean(spark, sf):
 @query("kmeans_clusters")
 def kmeans_clusters(spark, sf):
     table_ = written(features.add_reviews(prepared(spark, sf)[0]), "prepared")
-    segmenter = models.fit_segmenter(table_, restarts=RESTARTS, iterations=ITERATIONS)
+    segmenter = models.fit_segmenter(table_)
     return segmenter.assign(table_).groupBy("cluster_id").agg(
         F.count("*").alias("products"),
         F.round(F.avg("price"), 4).alias("avg_price"),
@@ -134,7 +128,7 @@ def kmeans_clusters(spark, sf):
 @query("segment_metrics")
 def segment_metrics(spark, sf):
     table_ = written(features.add_reviews(prepared(spark, sf)[0]), "prepared")
-    segmenter = models.fit_segmenter(table_, restarts=RESTARTS, iterations=ITERATIONS)
+    segmenter = models.fit_segmenter(table_)
     return models.segment_metrics(table_, segmenter, metric="squaredEuclidean")
 
 
@@ -142,29 +136,26 @@ def segment_metrics(spark, sf):
 def classifier_metrics(spark, sf):
     df = catalog_table(spark, sf)
     table_ = written(features.fit(df).transform(df), "features")
-    return models.train_and_test(table_, trees=TREES)[1]
+    return models.train_and_test(table_)[1]
 
 
 @query("classifier_probability")
 def classifier_probability(spark, sf):
     df = catalog_table(spark, sf)
     table_ = written(features.fit(df).transform(df), "features")
-    fitted, _ = models.train_and_test(table_, trees=TREES)
+    fitted, _ = models.train_and_test(table_)
     return fitted.probability(table_).select("product_id", "top_product_probability")
 
 
 @query("train_and_score")
 def train_and_score(spark, sf):
-    enriched = catalog_table(spark, sf)
-    return train_score.train_and_score(
-        enriched, trees=TREES, restarts=RESTARTS, iterations=ITERATIONS
-    )
+    return train_score.train_and_score(catalog_table(spark, sf))
 
 
 @query("model_save_load")
 def model_save_load(spark, sf):
     enriched = catalog_table(spark, sf)
-    trained = train_score.train(enriched, trees=TREES, restarts=1, iterations=ITERATIONS)
+    trained = train_score.train(enriched)
     path = scratch_path(spark, "models")
     artifacts.save_models(spark, trained.fitted, path)
     artifacts.save_metrics(trained.classifier_metrics, f"{path}/metrics")
@@ -176,7 +167,7 @@ def model_save_load(spark, sf):
 def random_forest_cross_validation(spark, sf):
     df = catalog_table(spark, sf)
     table_ = written(features.fit(df).transform(df), "features")
-    model, f1 = models.cross_validate_forest(table_, trees=TREES, folds=3)
+    model, f1 = models.cross_validate_forest(table_)
     return spark.createDataFrame(
         [(model.getNumTrees, round(f1, 6))], "trees int, mean_f1 double"
     )
