@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from shelfwise.functions import text as texts
 from shelfwise.operators import contracts
 from shelfwise.operators.skew import join_split_hot
-from shelfwise.schemas import ENRICHED, PRODUCT, TAXONOMY
+from shelfwise.schemas import ENRICHED, PRODUCT, PRODUCT_KEY, SHOP, TAXONOMY
 from shelfwise.session import checked_broadcast, written
 
 # Words that speak for a category.
@@ -120,19 +120,21 @@ def product_text() -> Column:
 def enrich_with_rules(products: DataFrame) -> DataFrame:
     """The three enrichment columns from the product text itself.
 
-    ``products`` has unique product ids.
+    Product ids are unique, or unique per platform and store if ``products`` has these.
     """
     whole = product_text()
-    found = tags(products, "product_id", whole)
+    key = F.to_json(F.struct(*[c for c in PRODUCT_KEY if c in products.columns]))
+    keyed = products.withColumn("product_key", key)
+    found = tags(keyed, "product_key", whole)
     listed = F.array_sort(F.collect_list(F.struct("rank", "tag")))
-    grouped = found.groupBy("product_id").agg(
+    grouped = found.groupBy("product_key").agg(
         F.transform(listed, lambda t: t["tag"]).alias("extracted_tags")
     )
     described = F.coalesce(F.nullif(F.col("description"), F.lit("")), F.col("name"))
     return (
-        add_category(products, whole)
+        add_category(keyed, whole)
         .withColumn("short_summary", texts.first_sentences(described))
-        .join(grouped, "product_id", "left")
+        .join(grouped, "product_key", "left")
         .withColumn(
             "extracted_tags", F.coalesce("extracted_tags", F.array().cast("array<string>"))
         )
@@ -152,11 +154,13 @@ def enrich_with(
     """Call ``function`` per product; a row that keeps failing gets an ``error``.
 
     The function takes a product as a dict and returns the three enrichment values.
+    Platform and store are kept if ``products`` has them.
     ``concurrency`` bounds the number of tasks, and so the calls in flight.
     """
     added = ("standardized_category", "short_summary", "extracted_tags")
-    schema = T.StructType(ENRICHED.fields + [T.StructField("error", T.StringType())])
-    names = [f.name for f in PRODUCT.fields]
+    shop = [f for f in SHOP.fields if f.name in products.columns]
+    schema = T.StructType([*shop, *ENRICHED.fields, T.StructField("error", T.StringType())])
+    names = [f.name for f in (*shop, *PRODUCT.fields)]
 
     def call(row: dict) -> tuple[dict, str | None]:
         for attempt in range(1, attempts + 1):
@@ -193,7 +197,7 @@ def split_results(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     if "error" in enriched.columns:
         reason = F.coalesce("error", reason)
     bad = checked.where(failed | (F.col("reasons") != "")).select(
-        "product_id", reason.alias("error")
+        *[c for c in PRODUCT_KEY if c in checked.columns], reason.alias("error")
     )
     return good, bad
 

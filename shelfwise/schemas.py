@@ -31,6 +31,12 @@ PRODUCT = T.StructType(
     ]
 )
 
+# What tells products apart: shops may share an id.
+SHOP = T.StructType(
+    [T.StructField("platform", T.StringType()), T.StructField("store", T.StringType())]
+)
+PRODUCT_KEY = (*SHOP.fieldNames(), "product_id")
+
 # The five categories of the taxonomy.
 TAXONOMY = ("Electronics", "Apparel", "Home", "Health", "Unknown")
 

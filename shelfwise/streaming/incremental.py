@@ -13,11 +13,14 @@ from pyspark.sql import types as T
 
 from shelfwise.operators import contracts, enrichment
 from shelfwise.operators.catalog import dedupe_products
-from shelfwise.schemas import ENRICHED, PRODUCT
+from shelfwise.schemas import ENRICHED, PRODUCT, PRODUCT_KEY, SHOP
 from shelfwise.session import written
 
 LOGGER = logging.getLogger(__name__)
 
+LANDED = T.StructType([*SHOP.fields, *PRODUCT.fields])
+NOTE = "lot bigint, error string"
+
 
 @dataclass(frozen=True)
 class Store:
@@ -37,6 +40,10 @@ class Store:
     def failed_lots(self) -> str:
         return f"{self.root}/failed_lots"
 
+    @property
+    def failed_products(self) -> str:
+        return f"{self.root}/failed_products"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -51,7 +58,7 @@ def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def read_cache(spark: SparkSession, store: Store) -> DataFrame:
     """Everything enriched so far."""
-    schema = T.StructType([*ENRICHED.fields, T.StructField("lot", T.LongType())])
+    schema = T.StructType([*SHOP.fields, *ENRICHED.fields, T.StructField("lot", T.LongType())])
     return _read_or_empty(spark, store.enriched, schema)
 
 
@@ -63,22 +70,53 @@ def enrich_lot(
 ) -> None:
     """Enrich the products of one lot that are not in the table yet.
 
-    A lot writes only its own folder and replaces it, so a repeated lot changes nothing.
+    Every product is then in the table or, with its reasons, among the errors. A lot writes
+    only its own folders and replaces them, so a repeated lot changes nothing.
     """
     spark = batch.sparkSession
+    checked = written(contracts.check_products(batch), "checked")
+    broken = checked.where(F.col("reasons") != "").select(
+        *PRODUCT_KEY, F.col("reasons").alias("error")
+    )
     products = dedupe_products(
-        contracts.valid(contracts.check_products(batch)),
-        key=("product_id",),
-        order=("name", "price", "description"),
+        contracts.valid(checked), PRODUCT_KEY, order=("name", "price", "description")
+    )
+    # Only rows that passed the contract are in the table, so their keys are enough; the
+    # scan reads these columns alone.
+    earlier = read_cache(spark, store).where(F.col("lot") != lot).select(
+        *[F.col(c).alias(f"earlier_{c}") for c in PRODUCT_KEY]
     )
-    # Only rows that passed the contract are in the table, so their ids are enough; the
-    # scan reads that one column.
-    earlier = read_cache(spark, store).where(F.col("lot") != lot).select("product_id")
-    misses = products.join(earlier, "product_id", "left_anti")
-    results = written(enrich(written(misses, "misses")), "lot-results")
-    good, bad = enrichment.split_results(results)
+    same = [F.col(c).eqNullSafe(F.col(f"earlier_{c}")) for c in PRODUCT_KEY]
+    misses = products.join(earlier, same, "left_anti")
+    found = enrich(written(misses, "misses"))
+    contracts.require_columns(found, PRODUCT_KEY)
+    good, bad = enrichment.split_results(written(found, "lot-results"))
     good.write.mode("overwrite").parquet(f"{store.enriched}/lot={lot}")
-    bad.write.mode("overwrite").parquet(f"{store.errors}/lot={lot}")
+    bad.unionByName(broken).write.mode("overwrite").parquet(f"{store.errors}/lot={lot}")
+
+
+def _note(spark: SparkSession, lot: int, store: Store, error: str | None) -> None:
+    """Note a failed lot; without an error, its note is emptied."""
+    rows = [] if error is None else [(lot, error)]
+    note = spark.createDataFrame(rows, NOTE)
+    note.write.mode("overwrite").parquet(f"{store.failed_lots}/id={lot}")
+
+
+def retry_failed(
+    spark: SparkSession, store: Store, enrich: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Take up the lots that failed before, the oldest first."""
+    notes = _read_or_empty(spark, store.failed_lots, T.StructType.fromDDL(NOTE))
+    for lot in sorted(row["lot"] for row in notes.select("lot").collect()):
+        kept = f"{store.failed_products}/id={lot}"
+        try:
+            enrich_lot(spark.read.schema(LANDED).parquet(kept), lot, store, enrich)
+        except Exception as problem:
+            LOGGER.exception("lot %s failed again", lot)
+            _note(spark, lot, store, str(problem))
+        else:
+            _note(spark, lot, store, None)
+            spark.createDataFrame([], LANDED).write.mode("overwrite").parquet(kept)
 
 
 def enrich_incremental(
@@ -91,7 +129,8 @@ def enrich_incremental(
     """Run over all product files not seen before; gives the whole enriched table back.
 
     A lot is the products of up to ``files_per_lot`` files. One that fails is noted under
-    ``failed_lots`` and skipped.
+    ``failed_lots``, its products are kept, and the next run takes it up first. A lot whose
+    products can't be kept ends the run, and the next run reads its files again.
     """
 
     def handle(batch: DataFrame, lot: int) -> None:
@@ -99,13 +138,13 @@ def enrich_incremental(
             enrich_lot(batch, lot, store, enrich)
         except Exception as problem:
             LOGGER.exception("lot %s failed", lot)
-            row = batch.sparkSession.createDataFrame(
-                [(lot, str(problem))], "lot bigint, error string"
-            )
-            row.write.mode("overwrite").parquet(f"{store.failed_lots}/id={lot}")
+            kept = f"{store.failed_products}/id={lot}"
+            batch.write.mode("overwrite").parquet(kept)
+            _note(batch.sparkSession, lot, store, str(problem))
 
+    retry_failed(spark, store, enrich)
     query = (
-        spark.readStream.schema(PRODUCT)
+        spark.readStream.schema(LANDED)
         .option("maxFilesPerTrigger", files_per_lot)
         .json(source)
         .writeStream.foreachBatch(handle)
