@@ -33,7 +33,9 @@ def _encoder(path: str) -> Callable[[bytes], bytes]:
     The tokenizer drops white space and never joins what stands on either side of it, so
     a text's ids are those of its words one after the other; words repeat, their ids are
     remembered. ASCII is lower-cased first, as the tokenizer does itself, unless a special
-    token could arise from it.
+    token could arise from it. The tokenizer composes before it lower-cases, and some small
+    letters compose with a mark that the capital does not, so in a text with combining
+    marks only words of pure ASCII are.
     """
     from tokenizers import Tokenizer
 
@@ -43,6 +45,9 @@ def _encoder(path: str) -> Callable[[bytes], bytes]:
     def encode(body: bytes) -> bytes:
         low = body.lower()
         words = (body if b"<|" in low else low).split()
+        # First bytes of U+0300 to U+037F: only marks among these compose with ASCII letters.
+        if b"\xcc" in low or b"\xcd" in low:
+            words = [x.lower() if x.isascii() and b"<|" not in low else x for x in body.split()]
         if len(known) > WORDS_KEPT:
             known.clear()
         parts = list(map(known.get, words))
