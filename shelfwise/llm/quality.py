@@ -19,8 +19,9 @@ MAX_CHAR_DISTANCE = 0.32
 MAX_WORD_DISTANCE = 0.18
 #: A histogram of n words strays from its source by about 1 / sqrt(n); this much is allowed.
 WORD_NOISE = 2.0
-#: Fewest words for a verdict by distribution: below, the histograms say little.
-GUARD = 50
+#: A language of fewer documents or words, in the whole corpus, is no reference.
+REFERENCE_DOCUMENTS = 10
+REFERENCE_WORDS = 2000
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -90,11 +91,13 @@ def reference(docs: DataFrame, common_words: int = COMMON_WORDS) -> list[dict]:
 
     Tasks add up their own documents first. What comes to the driver is one row of class
     counts and ``common_words`` words per language, whatever the number of documents.
+    ``documents`` is the number of a language's documents.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: dict[str, np.ndarray] = {}
         words: dict[str, Counter] = {}
+        documents: Counter = Counter()
 
         def rows(kind: str, lang: str, items: list[bytes], n: list[int]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
@@ -112,6 +115,7 @@ def reference(docs: DataFrame, common_words: int = COMMON_WORDS) -> list[dict]:
 
         for batch in batches:
             for lang, body in zip(batch.column("lang").to_pylist(), _texts(batch), strict=True):
+                documents[lang] += 1
                 classes[lang] = classes.get(lang, 0) + class_counts(body)
                 words.setdefault(lang, Counter()).update(body.lower().split())
             if sum(map(len, words.values())) > 500_000:
@@ -120,6 +124,7 @@ def reference(docs: DataFrame, common_words: int = COMMON_WORDS) -> list[dict]:
         yield from word_rows()
         for lang, counts in classes.items():
             yield rows("class", lang, [c.encode() for c in CLASSES], counts.tolist())
+            yield rows("documents", lang, [b""], [documents[lang]])
 
     known = docs.select("lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
@@ -140,13 +145,27 @@ def reference(docs: DataFrame, common_words: int = COMMON_WORDS) -> list[dict]:
     )
     found: dict[str, dict] = {}
     for row in rows:
-        ref = found.setdefault(row.lang, {"lang": row.lang, "classes": {}, "words": {}, "total": 0})
+        ref = found.setdefault(
+            row.lang, {"lang": row.lang, "classes": {}, "words": {}, "total": 0, "documents": 0}
+        )
+        if row.kind == "documents":
+            ref["documents"] = row.n
+            continue
         ref["classes" if row.kind == "class" else "words"][bytes(row.item)] = row.n
         if row.kind == "word":
             ref["total"] = row.total
     return list(found.values())
 
 
+def sound(references: list[dict]) -> list[dict]:
+    """The references with enough documents and words behind them."""
+    return [
+        r
+        for r in references
+        if r["documents"] >= REFERENCE_DOCUMENTS and r["total"] >= REFERENCE_WORDS
+    ]
+
+
 OUTPUT = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "char_distance double, word_distance double, base_failed boolean, kept boolean"
@@ -164,12 +183,13 @@ def assess(
     A text fails the base rule with fewer than 50 words or with more than half of its
     words in repeated three-word windows. Beyond it, its character-class histogram and
     its histogram over the common words of a language are compared with every language's
-    and the nearest language counts, so a wrong or missing ``lang`` does no harm. A
-    distance that a length guard or a missing reference leaves open is null and rejects
-    nothing. A null text is an empty one. Columns of ``docs`` named like a result column
+    and the nearest language counts, so a wrong or missing ``lang`` does no harm. Only
+    languages with enough text are references (``sound``); documents of others are judged
+    against these. A distance that too few words or a missing reference leave open is null
+    and rejects nothing. A null text is an empty one. Columns of ``docs`` named like a result column
     are replaced; all others stay.
     """
-    refs = reference(docs) if references is None else references
+    refs = sound(reference(docs)) if references is None else references
     keep = [c for c in docs.columns if c not in [x.split()[0] for x in OUTPUT.split(", ")]]
     classes = np.array(
         [[r["classes"].get(c.encode(), 0) for c in CLASSES] for r in refs], dtype=float
@@ -189,9 +209,9 @@ def assess(
                 n, repeated = counts[0], counts[4]
                 failed = n < MIN_WORDS or 100 * repeated > 50 * n
                 by_char = by_word = None
-                if refs and n >= GUARD:
+                if refs and n >= MIN_WORDS:
                     by_char = float(js_distance(class_counts(body), classes).min())
-                if refs and n >= GUARD:
+                if refs and n >= MIN_WORDS:
                     seen = Counter(body.lower().split())
                     by_word = 1.0
                     for known, share in zip(lists, shares, strict=True):
