@@ -108,11 +108,8 @@ def promotions(spark, sf):
     group by 1, 2""",
 )
 def weekly_activity(spark, sf):
-    """A stream over the events; weeks still open at the watermark are left out."""
-    schema = table(spark, sf, "events").schema
-    return trends.run_weekly_activity(
-        spark, sf, "events.parquet", schema, "event_type", "ts", "value"
-    )
+    """Weeks still open a day before the newest event are left out."""
+    return trends.closed_weeks(table(spark, sf, "events"), "event_type", "ts", "value")
 
 
 @query(

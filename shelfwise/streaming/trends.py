@@ -1,4 +1,4 @@
-"""Counts per week over a stream of dated records."""
+"""Counts per week over dated records, as a table or a stream."""
 
 from __future__ import annotations
 
@@ -12,10 +12,26 @@ def weekly_activity(
     records: DataFrame, key: str, at: str, value: str, late: str = "1 day"
 ) -> DataFrame:
     """Records and summed value (in hundredths) per key and week; late rows are dropped."""
+    stamped = records.withColumn("at", F.col(at).cast("timestamp")).withWatermark("at", late)
+    return _per_week(stamped, key, value)
+
+
+def closed_weeks(
+    records: DataFrame, key: str, at: str, value: str, late: str = "1 day"
+) -> DataFrame:
+    """The same over a finished table: every record of the weeks that ended ``late`` or more
+    before the newest record, whatever the order of the files."""
+    stamped = records.withColumn("at", F.col(at).cast("timestamp"))
+    newest = stamped.agg(F.max("at").alias("newest"))
+    ends = F.window("at", "7 days")["end"]
+    closed = F.expr(f"newest - interval {late}")
+    rows = stamped.withColumn("week_end", ends).crossJoin(F.broadcast(newest))
+    return _per_week(rows.where(F.col("week_end") <= closed), key, value)
+
+
+def _per_week(stamped: DataFrame, key: str, value: str) -> DataFrame:
     return (
-        records.withColumn("at", F.col(at).cast("timestamp"))
-        .withWatermark("at", late)
-        .groupBy(F.window("at", "7 days"), F.col(key))
+        stamped.groupBy(F.window("at", "7 days"), F.col(key))
         .agg(
             F.count("*").alias("records"),
             F.sum(F.round(F.col(value) * 100).cast("bigint")).alias("value_cents"),
