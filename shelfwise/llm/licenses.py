@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm import license_table
 from shelfwise.llm.common import numbered
+from shelfwise.session import checked_broadcast
 
 _GRANT = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
 IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
@@ -90,14 +92,27 @@ def canonical_lines(text: Column) -> Column:
     return F.filter(lines, lambda x: (x != "") & ~x.rlike(notice))
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """``KNOWN``, its full texts by other headings, and the common licences."""
+    out = list(KNOWN)
+    heads = {"MIT": ("", "The MIT License\n", "The MIT License (MIT)\n"), "ISC": ("", "The ISC License\n")}
+    for name, text in KNOWN[:2]:
+        body = text.split("\n", 1)[1]
+        out += [(name, head + body) for head in heads[name]]
+    return [*out, *license_table.common()]
+
+
 def digest_of(canonical: Column) -> Column:
     return F.sha2(canonical, 256)
 
 
 def known_digests(
-    spark: SparkSession, known: Sequence[tuple[str, str]] | DataFrame = KNOWN
+    spark: SparkSession, known: Sequence[tuple[str, str]] | DataFrame | None = None
 ) -> DataFrame:
-    """(``license``, ``digest``) of known licence texts, given as pairs or as a table."""
+    """(``license``, ``digest``) of known licence texts, given as pairs or as a table;
+    ``known_texts`` without these."""
+    if known is None:
+        known = known_texts()
     texts = known if isinstance(known, DataFrame) else spark.createDataFrame(
         list(known), "license string, text string"
     )
@@ -109,17 +124,19 @@ def known_digests(
     )
 
 
-def scan(docs: DataFrame, known: Sequence[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
+def scan(
+    docs: DataFrame, known: Sequence[tuple[str, str]] | DataFrame | None = None
+) -> DataFrame:
     """One row per row of ``docs`` with the licence that its text is, and those of its lines.
 
     ``doc_id``, ``digest`` (of the entire canonical text), ``license`` (null if the digest is not
     known), ``line_licenses`` (sorted, distinct) and ``n_license_lines``: lines that are in
     themselves a known text or notice. A null, empty or blank text has the digest of the
-    empty text and no licence. Both look-ups are equality joins on digests; Spark chooses
-    how by the size of the table of known digests.
+    empty text and no licence. Both look-ups are equality joins on digests; a table of up
+    to 100,000 known digests is broadcast, so no line is shuffled.
     """
     rows = numbered(docs, "documents", "doc_id", "text")
-    digests = known_digests(docs.sparkSession, known)
+    digests = checked_broadcast(known_digests(docs.sparkSession, known))
     lined = rows.select("rid", "doc_id", canonical_lines(F.col("text")).alias("lines"))
     whole = lined.select(
         "rid", "doc_id", digest_of(F.array_join("lines", " ")).alias("digest")
@@ -148,7 +165,7 @@ def _sql_text(value: str) -> str:
 
 
 def oracle_sql(table: str = "documents", known: Sequence[tuple[str, str]] = KNOWN) -> str:
-    """The same rows in DuckDB's SQL; lists are compared as their text."""
+    """The same rows in DuckDB's SQL, for documents with no licence beyond ``KNOWN``; lists are compared as their text."""
 
     def lines(column: str) -> str:
         text = rf"regexp_replace(lower(coalesce({column}, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
