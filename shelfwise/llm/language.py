@@ -17,7 +17,7 @@ from shelfwise.llm.common import map_batches, schema_of, written
 ORDER = 4
 BITS = 16
 SPACE = 0x20
-#: The sample that models are learned from: so many rows per language, none longer.
+#: The sample that models are learned from: so many rows per language, of so many characters on average at most.
 SAMPLE_ROWS = 1000
 SAMPLE_CHARS = 20_000
 #: One sampled row in this many sets the rejection threshold instead of the counts.
@@ -170,6 +170,9 @@ def _fold(doc_id: str) -> Column:
 def sample(docs: DataFrame) -> DataFrame:
     """The bounded training sample: ``SAMPLE_ROWS`` rows per language, in hash order.
 
+    Whole rows of any length, up to ``SAMPLE_ROWS * SAMPLE_CHARS`` characters a language, and
+    one row of every language at least.
+
     The cut in the hash order is found on hashes alone; only sampled texts are moved, and
     equal rows count once.
     """
@@ -177,14 +180,15 @@ def sample(docs: DataFrame) -> DataFrame:
         F.col("lang").isNotNull()
         & (_fold("doc_id") != 1)
         & F.col("text").isNotNull()
-        & (F.length("text") <= SAMPLE_CHARS)
     ).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
     order = Window.partitionBy("lang").orderBy("h")
     cuts = (
-        rows.select("lang", "h")
+        rows.select("lang", "h", F.length("text").cast("long").alias("n"))
         .distinct()
         .withColumn("nth", F.row_number().over(order))
         .where(F.col("nth") <= SAMPLE_ROWS)
+        .withColumn("chars", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .where((F.col("nth") == 1) | (F.col("chars") <= SAMPLE_ROWS * SAMPLE_CHARS))
         .groupBy("lang")
         .agg(F.max("h").alias("cut"))
     )
