@@ -13,6 +13,11 @@ from shelfwise.llm import mixing, packing, quality, repeats, simhash
 from shelfwise.llm.common import documents, written
 
 
+#: Bytes from which a passage counts as repeated. Passages of over 50 words have 300 bytes and
+#: more in running text; shorter common phrases stay.
+PASSAGE_BYTES = 250
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality.good_documents(docs)
@@ -24,8 +29,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes and more that occur elsewhere are cut out of the texts."""
-    return repeats.unrepeated_documents(docs)
+    """Passages of 250 bytes and more that occur elsewhere are cut out of the texts."""
+    return repeats.unrepeated_documents(docs, PASSAGE_BYTES)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
