@@ -25,18 +25,19 @@ def ingest_pages(
     stores: DataFrame,
     *,
     max_products: int | None = None,
+    max_pages: int | None = None,
     dedupe: bool = False,
 ) -> Catalogue:
     """Products, set-aside rows and run summary. ``stores`` lists what should be there.
 
     Payloads are parsed once: the checked products are written as a table, and all three
-    results read from it. All products are kept unless ``max_products`` caps them; the
-    summary counts what is kept, and stores after the one that reached the cap count
+    results read from it. All pages are read unless ``max_pages`` ends a shop earlier, and
+    all products are kept unless ``max_products`` caps them; the summary counts what is kept, and stores after the one that reached the cap count
     neither as good nor as failed.
     """
     wanted = checked_broadcast(stores.select("platform", "store"))
     chosen = pages.join(wanted, ["platform", "store"], "left_semi")
-    checked = written(page_source.checked_products(chosen), "checked-products")
+    checked = written(page_source.checked_products(chosen, max_pages), "checked-products")
     products = contracts.valid(checked)
     if dedupe:
         products = catalog.dedupe_products(products)

@@ -28,7 +28,7 @@ MAX_SIZE = 6
 
 def items_sql(item: str) -> str:
     return f"""
-items as (
+items as materialized (
   select distinct cast(l_orderkey as varchar) as basket_id, {item} as item
   from lineitem join part on l_partkey = p_partkey
 ),
@@ -39,44 +39,46 @@ def itemsets_sql(item: str, min_support: float) -> str:
     """Frequent sets of up to six items, each size grown from the one before."""
     need = f"count(*) >= (select ceil({min_support} * n) from total)"
     levels = [
-        f"""l1 as (select list_value(item) as items, count(*) as freq from items
+        f"""l1 as materialized (select list_value(item) as items, count(*) as freq from items
             group by item having {need}),
-        m1 as (select basket_id, list_value(item) as items, item as top from items
+        m1 as materialized (select basket_id, list_value(item) as items, item as top from items
                where list_value(item) in (select items from l1))"""
     ]
     for k in range(2, MAX_SIZE + 1):
         levels.append(
-            f"""l{k} as (
+            f"""l{k} as materialized (
               select list_append(m.items, i.item) as items, count(*) as freq
               from m{k - 1} m join items i on i.basket_id = m.basket_id and i.item > m.top
               group by 1 having {need}),
-            m{k} as (
+            m{k} as materialized (
               select m.basket_id, list_append(m.items, i.item) as items, i.item as top
               from m{k - 1} m join items i on i.basket_id = m.basket_id and i.item > m.top
               where list_append(m.items, i.item) in (select items from l{k}))"""
         )
     union = " union all ".join(f"select * from l{k}" for k in range(1, MAX_SIZE + 1))
-    return f"{items_sql(item)}, {', '.join(levels)}, itemsets as ({union})"
+    return f"{items_sql(item)}, {', '.join(levels)}, itemsets as materialized ({union})"
 
 
 def rules_sql(item: str, min_support: float, min_confidence: float, lift: str) -> str:
     return f"""{itemsets_sql(item, min_support)},
-masks as (
-  select items, freq, unnest(range(1, (1 << len(items)) - 1)) as mask
-  from itemsets where len(items) >= 2
+named_sets as materialized (
+  select items, freq, list_aggregate(items, 'string_agg', '|') as name from itemsets
 ),
-splits as (
-  select freq,
-         list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) as antecedents,
-         list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 0) as consequents
-  from masks
+confident as materialized (
+  select a.items as antecedents, list_filter(s.items, lambda x: not list_contains(a.items, x)) as consequents,
+         s.freq, s.freq / a.freq as confidence
+  from named_sets s join named_sets a
+       on len(a.items) < len(s.items) and list_has_all(s.items, a.items)
+  where s.freq >= {min_confidence} * a.freq
 ),
-rules as (
-  select s.antecedents, s.consequents, s.freq / n as support,
-         s.freq / a.freq as confidence, (s.freq / a.freq) / (c.freq / n) as lift
-  from splits s join itemsets a on a.items = s.antecedents
-       join itemsets c on c.items = s.consequents cross join total
-  where s.freq / a.freq >= {min_confidence}
+with_name as materialized (
+  select *, list_aggregate(consequents, 'string_agg', '|') as name from confident
+),
+rules as materialized (
+  select r.antecedents, r.consequents, r.freq / (select n from total) as support, r.confidence,
+         r.confidence / (c.freq / (select n from total)) as lift
+  from with_name r join named_sets c on c.name = r.name
+  where r.confidence >= {min_confidence}
 ),
 kept as (select * from rules {lift})"""
 

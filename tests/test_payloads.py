@@ -212,20 +212,21 @@ def test_landed_files(spark, tmp_path):
         ("shopify", "full"),
         ("magento", "m"),
     ]
-    found = ingest.ingest_catalog(spark, str(tmp_path), stores)
-    got = [
-        (r["store"], r["product_id"])
-        for r in found.products.orderBy("row_no").select("store", "product_id").collect()
-    ]
-    assert got == [("w", "1"), ("007", "1"), ("007", "2"), ("007", "3")]
-    bad = found.quarantine.collect()
-    assert [(r["product_id"], r["reasons"]) for r in bad] == [("2", ["rating_out_of_range"])]
-    assert found.summary.first().asDict() == {
-        "successful_stores": 2,
-        "failed_stores": 2,
-        "total_products": 4,
-    }
-    assert pages.read_shopify_pages(spark, str(tmp_path)).count() == 3
+    limited = [("w", "1"), ("007", "1"), ("007", "2"), ("007", "3")]
+    for max_pages, want, good in ((20, limited, 2), (None, [*limited, ("full", "9")], 3)):
+        found = ingest.ingest_catalog(spark, str(tmp_path), stores, max_pages=max_pages)
+        rows = found.products.select("platform", "store", "page", "pos", "product_id").collect()
+        rows.sort(key=lambda r: (stores.index((r["platform"], r["store"])), r["page"], r["pos"]))
+        assert [(r["store"], r["product_id"]) for r in rows] == want
+        bad = found.quarantine.collect()
+        assert [(r["product_id"], r["reasons"]) for r in bad] == [("2", ["rating_out_of_range"])]
+        assert found.summary.first().asDict() == {
+            "successful_stores": good,
+            "failed_stores": 4 - good,
+            "total_products": len(want),
+        }
+    assert pages.read_shopify_pages(spark, str(tmp_path)).count() == 4
+    assert pages.read_shopify_pages(spark, str(tmp_path), max_pages=20).count() == 3
     assert pages.read_woo_pages(spark, str(tmp_path)).count() == 3
 
 
