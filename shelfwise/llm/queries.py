@@ -18,6 +18,7 @@ from shelfwise.llm import (
     scoring,
     sharding,
     simhash,
+    token_counts,
 )
 from shelfwise.llm.common import documents, numbered
 from shelfwise.registry import Query
@@ -93,6 +94,12 @@ def shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(documents(spark, sf_dir))
 
 
+@query("op11_token_counts")
+def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(documents(spark, sf_dir), str(tokenizer))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
