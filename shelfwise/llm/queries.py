@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
+    divergence,
     embeddings,
     language,
     licenses,
@@ -15,6 +16,7 @@ from shelfwise.llm import (
     packing,
     quality,
     repeats,
+    resampling,
     scoring,
     sharding,
     simhash,
@@ -100,6 +102,17 @@ def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), str(tokenizer))
 
 
+@query("op12_source_divergence", divergence.oracle_sql())
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+@query("op13_importance_resampling", resampling.oracle_sql())
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resampled(documents(spark, sf_dir), benchmark)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
