@@ -8,7 +8,8 @@ from shelfwise.operators import history
 from shelfwise.operators.skew import join_split_hot
 from shelfwise.registry import query
 from shelfwise.registry.data import CATALOG, catalog, table
-from shelfwise.streaming import trends
+from shelfwise.session import scratch_path
+from shelfwise.streaming import emerging, trends
 
 
 @query(
@@ -112,6 +113,51 @@ def weekly_activity(spark, sf):
     return trends.closed_weeks(table(spark, sf, "events"), "event_type", "ts", "value")
 
 
+SLICES = 6
+
+
+@query(
+    "emerging_products",
+    f"""with w as (
+      select cast(user_id as varchar) as product, cast(floor(epoch(ts) / 604800) as bigint) as week,
+             count(*) as records, cast(sum(cast(round(value * 100) as bigint)) as bigint) as cents
+      from events group by 1, 2),
+    bounds as (
+      select max(week) as newest, cast(ceil((max(week) - min(week) + 1) / {SLICES}.0) as bigint) as span
+      from w),
+    grown as (
+      select w.*, coalesce(p.records, 0) as previous, w.records - coalesce(p.records, 0) as growth
+      from w left join w p on p.product = w.product and p.week = w.week - 1),
+    ranked as (
+      select *, row_number() over (partition by week order by growth desc, records desc, product)
+               as rank
+      from grown where growth > 0)
+    select strftime(date '1970-01-01' + cast(week * 7 as integer), '%Y-%m-%d') as week_start,
+           product, records, cents, previous, growth, cast(rank as integer) as rank,
+           (week + 1) * 7 > newest * 7 - 14 * span as is_open
+    from ranked, bounds where rank <= 5""",
+)
+def emerging_products(spark, sf):
+    """All events as a stream of files by time, every second pair of files the later one first."""
+    events = table(spark, sf, "events", "user_id", "ts", "value")
+    week = emerging.week_number(F.col("ts"))
+    first, newest = events.agg(F.min(week), F.max(week)).first()
+    span = -(-(newest - first + 1) // SLICES) if newest is not None else 1
+    folder = scratch_path(spark, "event-files")
+    for i in range(SLICES):
+        begin = (first or 0) + span * (i ^ 1)
+        days = [F.date_from_unix_date(F.lit(7 * w)).cast("timestamp") for w in (begin, begin + span)]
+        part = events.where((F.col("ts") >= days[0]) & (F.col("ts") < days[1]))
+        part.write.mode("append").parquet(folder)
+    found = emerging.run_emerging(
+        spark, folder, events.schema, "user_id", "ts", "value", late_days=14 * span
+    )
+    return found.top.select(
+        emerging.week_start(F.col("week")).alias("week_start"),
+        "product", "records", "cents", "previous", "growth", "rank", "is_open",
+    )
+
+
 @query(
     "price_outliers",
     """with c as (
