@@ -17,22 +17,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators import cells as grid
+from shelfwise.operators.cells import around, compared, squared_distance
 from shelfwise.operators.graph import components
 from shelfwise.operators.skew import join_split_hot
 from shelfwise.session import written
 
-#: Points of a cell that meet one comparison task; a larger cell is split.
-SPLIT = 5_000
 #: Pairs of cells with at most so many pairs of points are compared point by point.
 SMALL = 10_000
 MAX_HALVINGS = 60
 
 
-def _squared_distance(x: Column, y: Column, dims: int) -> Column:
-    parts = [(x[i] - y[i]) * (x[i] - y[i]) for i in range(dims)]
-    return reduce(lambda a, b: a + b, parts)
-
-
 def _box_distances(dims: int) -> tuple[Column, Column]:
     """Squares of the least and the greatest distance of boxes ``lo``, ``hi`` and ``_lo``, ``_hi``."""
     least, most = [], []
@@ -54,24 +49,6 @@ def _boxes(points: DataFrame, keys: list[str], dims: int) -> DataFrame:
     )
 
 
-def _around(cell: str, offsets: list[tuple[int, ...]], dims: int) -> Column:
-    """The cells at some offsets from a cell."""
-    steps = [F.array(*(F.col(cell)[i] + F.lit(o[i]) for i in range(dims))) for o in offsets]
-    return F.explode(F.array(*steps))
-
-
-def _compared(probes: DataFrame, near: DataFrame, points: DataFrame) -> DataFrame:
-    """Probes beside all points of the cells around theirs; large cells in several parts."""
-    salts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    wanted = probes.join(near, "cell").select(*probes.columns, "other", salts)
-    other = points.select(
-        F.col("cell").alias("other"),
-        F.pmod(F.xxhash64("point"), "parts").cast("int").alias("part"),
-        *(F.col(c).alias(f"_{c}") for c in points.columns if c not in ("cell", "parts")),
-    )
-    return wanted.join(other, ["other", "part"])
-
-
 def linked_cells(core: DataFrame, offsets: list[tuple[int, ...]], eps: float, dims: int) -> DataFrame:
     """Pairs (``a``, ``b``) of cells that hold two core points within ``eps`` of each other.
 
@@ -89,7 +66,7 @@ def linked_cells(core: DataFrame, offsets: list[tuple[int, ...]], eps: float, di
     )
     half = [o for o in offsets if o > (0,) * dims]
     pairs = written(
-        cells.withColumn("other", _around("cell", half, dims))
+        cells.withColumn("other", around("cell", half))
         .join(other, "other")
         .where(least <= limit)
         .select(F.col("cell_id").alias("a"), "b", (most <= limit).alias("near"), (F.col("m") * F.col("_m")).alias("work")),
@@ -100,7 +77,7 @@ def linked_cells(core: DataFrame, offsets: list[tuple[int, ...]], eps: float, di
     ys = core.select(F.col("cell_id").alias("b"), F.col("x").alias("y"))
     small = pairs.where(~F.col("near") & (F.col("work") <= SMALL)).select("a", "b")
     met = small.join(xs, "a").join(ys, "b")
-    met = met.where(_squared_distance(F.col("x"), F.col("y"), dims) <= limit)
+    met = met.where(squared_distance(F.col("x"), F.col("y"), dims) <= limit)
     links.append(met.select("a", "b").distinct())
     todo = pairs.where(~F.col("near") & (F.col("work") > SMALL))
     todo = written(todo.select("a", "b", F.lit(0).alias("u"), F.lit(0).alias("v")), "open-pairs")
@@ -182,21 +159,21 @@ def density_clusters(
     cells = written(
         found.groupBy("cell").agg(
             F.sum("rows").alias("n"), F.min("point").alias("cell_id"),
-            F.ceil(F.count("*") / SPLIT).cast("int").alias("parts"),
+            grid.parts().alias("parts"),
         ),
         "cells",
     )
     points = written(found.join(cells, "cell"), "points-in-cells")
     few = cells.where(F.col("n") < min_points).select("cell")
-    near = few.withColumn("other", _around("cell", offsets, dims)).join(
+    near = few.withColumn("other", around("cell", offsets)).join(
         cells.select(F.col("cell").alias("other"), "parts"), "other"
     )
     near = written(near, "cells-around")
     limit = F.lit(eps * eps)
-    within = _squared_distance(F.col("x"), F.col("_x"), dims) <= limit
+    within = squared_distance(F.col("x"), F.col("_x"), dims) <= limit
     probes = points.where(F.col("n") < min_points).select("point", "cell", "x")
-    around = _compared(probes, near, points.select("point", "cell", "parts", "x", "rows")).where(within)
-    counts = around.groupBy("point").agg(F.sum("_rows").alias("neighbours"))
+    met = compared(probes, near, points.select("point", "cell", "parts", "x", "rows")).where(within)
+    counts = met.groupBy("point").agg(F.sum("_rows").alias("neighbours"))
     judged = points.join(counts, "point", "left").withColumn(
         "core", (F.col("n") >= min_points) | (F.coalesce("neighbours", F.lit(0)) >= min_points)
     )
@@ -208,7 +185,7 @@ def density_clusters(
     names = named.groupBy("root").agg(F.min("name").alias("cluster"))
     core = written(named.join(names, "root").select("point", "cell", "parts", "x", "cluster"), "named-core")
     loose = judged.where("not core").select("point", "cell", "x")
-    border = _compared(loose, near, core).where(within).groupBy("point").agg(
+    border = compared(loose, near, core).where(within).groupBy("point").agg(
         F.count("*").alias("_met"), F.min("_cluster").alias("cluster")
     )
     labels = core.select("point", "cluster", F.lit("core").alias("role")).union(

@@ -16,7 +16,7 @@ from shelfwise.session import written
 MAX_ROUNDS = 64
 
 
-def _roots(picks: DataFrame) -> DataFrame:
+def tree_roots(picks: DataFrame) -> DataFrame:
     """(``node``, ``root``) of a forest of (``node``, ``up``), a node on top being its own ``up``.
 
     Every step doubles the reach of a pointer.
@@ -66,7 +66,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         if edges.isEmpty():
             return found
         low = _both_ways(edges).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-        roots = _roots(low.select("node", F.least("node", "low").alias("up")))
+        roots = tree_roots(low.select("node", F.least("node", "low").alias("up")))
         to = roots.select(F.col("node").alias("root"), F.col("root").alias("_to"))
         found = written(
             found.join(to, "root", "left").select("node", F.coalesce("_to", "root").alias("root")),
@@ -105,7 +105,7 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
         picks = best.join(back, "to").select(
             "node", F.when((F.col("_back") == F.col("node")) & (F.col("node") < F.col("to")), F.col("node")).otherwise(F.col("to")).alias("up")
         )
-        left = _relabelled(left, _roots(picks)).select(
+        left = _relabelled(left, tree_roots(picks)).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "edge"
         )
         left = written(left.groupBy("a", "b").agg(F.min("edge").alias("edge")), "edges")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.operators import history
+from shelfwise.operators import density, history, linkage
 from shelfwise.operators.skew import join_split_hot
 from shelfwise.registry import query
 from shelfwise.registry.data import CATALOG, catalog, table
@@ -178,3 +178,104 @@ def price_outliers(spark, sf):
     cents = F.round(F.col("value") * 100).cast("bigint")
     rows = table(spark, sf, "events", "event_type", "value").withColumn("cents", cents)
     return history.density_outliers(rows, "event_type", "cents", 10, 4)
+
+
+#: Products as points: price in steps of 40, rating in half steps, reviews in steps of 4.
+POINT = ("price / 40", "rating * 2", "review_count / 4.0")
+EPS, MIN_POINTS = 0.5, 6
+
+
+@query(
+    "density_clusters",
+    f"""with recursive {CATALOG},
+    points as materialized (
+      select product_id, {POINT[0]} as x, {POINT[1]} as y, {POINT[2]} as z from catalog
+      where price is not null and rating is not null and review_count is not null),
+    near as materialized (
+      select a.product_id as a, b.product_id as b from points a join points b
+        on (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)
+           <= {EPS}::double * {EPS}::double),
+    core as materialized (select a from near group by a having count(*) >= {MIN_POINTS}),
+    edges as materialized (
+      select a, b from near where a in (select a from core) and b in (select a from core)),
+    reach as (
+      select a, a as name, 0 as step from core
+      union all
+      select e.a, min(r.name), r.step + 1 from reach r join edges e on e.b = r.a
+      where r.step < 80 group by e.a, r.step),
+    named as materialized (select a, name from reach where step = 80),
+    border as (
+      select n.a, min(c.name) as name from near n join named c on c.a = n.b
+      where n.a not in (select a from core) group by n.a)
+    select product_id,
+           case when x is null then null when c.a is not null then 'core'
+                when b.a is not null then 'border' else 'noise' end as role,
+           coalesce(c.name, b.name) as cluster
+    from catalog left join points using (product_id)
+         left join named c on c.a = product_id left join border b on b.a = product_id""",
+)
+def density_clusters(spark, sf):
+    products = catalog(spark, sf).withColumns(
+        {f"point_{i}": F.expr(p).cast("double") for i, p in enumerate(POINT)}
+    )
+    found = density.density_clusters(
+        products, "product_id", ["point_0", "point_1", "point_2"], EPS, MIN_POINTS
+    )
+    return found.select("product_id", "role", "cluster")
+
+
+LINKED = 5
+
+
+@query(
+    "single_linkage",
+    f"""with recursive {CATALOG},
+    points as materialized (
+      select product_id, {POINT[0]} as x, {POINT[1]} as y, {POINT[2]} as z from catalog
+      where price is not null and rating is not null and review_count is not null),
+    places as materialized (
+      select min(product_id) as p, x, y, z from points group by x, y, z),
+    -- The tree grows by the place nearest to it, one a step.
+    grown as (
+      select 0 as step, p, x, y, z, cast('inf' as double) as d, '' as q, p = (select min(p) from places) as new
+      from places
+      union all
+      select step + 1, p, x, y, z, d, q,
+             row_number() over (order by d, least(p, q), greatest(p, q)) = 1 as new
+      from (
+        select r.step, r.p, r.x, r.y, r.z,
+               case when (r.x - n.x) * (r.x - n.x) + (r.y - n.y) * (r.y - n.y)
+                         + (r.z - n.z) * (r.z - n.z) < r.d
+                      or r.q = ''
+                      or ((r.x - n.x) * (r.x - n.x) + (r.y - n.y) * (r.y - n.y)
+                          + (r.z - n.z) * (r.z - n.z) = r.d
+                          and (least(r.p, n.p), greatest(r.p, n.p)) < (least(r.p, r.q), greatest(r.p, r.q)))
+                    then n.p else r.q end as q,
+               least(r.d, (r.x - n.x) * (r.x - n.x) + (r.y - n.y) * (r.y - n.y)
+                          + (r.z - n.z) * (r.z - n.z)) as d
+        from grown r join grown n on n.new where not r.new)),
+    edges as materialized (select p, q, d from grown where new and q <> ''),
+    kept as materialized (
+      select p, q from (
+        select p, q, row_number() over (order by d desc, least(p, q) desc, greatest(p, q) desc) as n
+        from edges) where n >= {LINKED}),
+    two_ways as materialized (select p, q from kept union all select q, p from kept),
+    -- Every cluster is walked from its smallest place; others stop at places met before.
+    reach as (
+      select p, p as name from places
+      union
+      select b.p, min(r.name) from reach r join two_ways b on b.q = r.p group by b.p),
+    named as (select p, min(name) as name from reach group by p)
+    select product_id, n.name as cluster
+    from catalog left join points using (product_id)
+         left join places l on l.x = points.x and l.y = points.y and l.z = points.z
+         left join named n on n.p = l.p""",
+)
+def single_linkage(spark, sf):
+    products = catalog(spark, sf).withColumns(
+        {f"point_{i}": F.expr(p).cast("double") for i, p in enumerate(POINT)}
+    )
+    found = linkage.single_linkage(
+        products, "product_id", ["point_0", "point_1", "point_2"], LINKED
+    )
+    return found.select("product_id", "cluster")

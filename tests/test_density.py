@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from shelfwise.operators import density, graph
+from shelfwise.operators import cells, density, graph
 
 
 def plain(points, eps, least):
@@ -64,7 +64,7 @@ def test_equals_comparison_of_all_rows(spark, dims, seed):
 def test_dense_cells_are_halved_until_they_are_decided(spark, monkeypatch):
     """Two rows of points, nearly one radius apart, in cells of very many points."""
     monkeypatch.setattr(density, "SMALL", 4)
-    monkeypatch.setattr(density, "SPLIT", 7)
+    monkeypatch.setattr(cells, "SPLIT", 7)
     rng = random.Random(8)
     points = []
     for i in range(300):
