@@ -17,13 +17,17 @@ from shelfwise.llm.common import map_batches, schema_of, written
 ORDER = 4
 BITS = 16
 SPACE = 0x20
+#: What stands for the letters beyond 16 bits that would fold to a space or to nothing.
+FOLDED = 0xFFFF
+#: Languages that get a model at most, those with the most different training rows.
+LANGUAGES = 1000
 #: The sample that models are learned from: so many rows per language, of so many characters on average at most.
 SAMPLE_ROWS = 1000
 SAMPLE_CHARS = 20_000
 #: One sampled row in this many sets the rejection threshold instead of the counts.
 CALIBRATION = 10
 REJECT_QUANTILE = 0.999
-#: Symbols scored at a time, which bounds a task's memory for any length of text.
+#: Symbols of short texts that are scored together; a longer text is scored by itself.
 CHUNK = 2_000_000
 SHARPNESS = 10.0
 UNKNOWN = "und"
@@ -35,7 +39,9 @@ def _symbol_of() -> np.ndarray:
     table = np.full(0x110000, SPACE, dtype=np.uint64)
     for point in range(0x110000):
         if chr(point).isalpha():
-            table[point] = max((point ^ (point >> 16)) & 0xFFFF, 1)
+            folded = (point ^ (point >> 16)) & 0xFFFF
+            # No letter may become a space or nothing.
+            table[point] = FOLDED if folded in (0, SPACE) else folded
     return table
 
 
@@ -171,19 +177,35 @@ def sample(docs: DataFrame) -> DataFrame:
     """The bounded training sample: ``SAMPLE_ROWS`` rows per language, in hash order.
 
     Whole rows of any length, up to ``SAMPLE_ROWS * SAMPLE_CHARS`` characters a language, and
-    one row of every language at least.
-
-    The cut in the hash order is found on hashes alone; only sampled texts are moved, and
-    equal rows count once.
+    one row of every language at least. With more than ``LANGUAGES`` languages the others, by
+    their number of different rows, have none: a corpus with a label of its own in every
+    document brings a bounded table to the driver.
+
+    Hashes are spread evenly, so only those in the lowest part of their range, some four
+    times as many as are wanted by an estimate of the different rows, come into the order.
+    The cut is found on hashes alone; only sampled texts are moved, and equal rows count
+    once.
     """
     rows = docs.where(
         F.col("lang").isNotNull()
         & (_fold("doc_id") != 1)
         & F.col("text").isNotNull()
     ).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    langs = (
+        rows.groupBy("lang")
+        .agg(F.approx_count_distinct("h", 0.02).alias("rows"), F.min("h").alias("least"))
+        .orderBy(F.desc("rows"), "lang")
+        .limit(LANGUAGES)
+    )
+    langs = written(langs, "languages")
+    place = (F.col("h").cast("double") + 2.0**63) / 2.0**64
+    low = (place <= F.lit(4.0 * SAMPLE_ROWS) / F.col("rows")) | (F.col("h") == F.col("least"))
     order = Window.partitionBy("lang").orderBy("h")
     cuts = (
         rows.select("lang", "h", F.length("text").cast("long").alias("n"))
+        .join(F.broadcast(langs), "lang")  # LANGUAGES rows at most
+        .where(low)
+        .select("lang", "h", "n")
         .distinct()
         .withColumn("nth", F.row_number().over(order))
         .where(F.col("nth") <= SAMPLE_ROWS)
@@ -192,7 +214,8 @@ def sample(docs: DataFrame) -> DataFrame:
         .groupBy("lang")
         .agg(F.max("h").alias("cut"))
     )
-    chosen = rows.join(written(cuts, "cuts"), "lang").where("h <= cut")
+    cuts = F.broadcast(written(cuts, "cuts"))  # LANGUAGES rows at most
+    chosen = rows.join(cuts, "lang").where("h <= cut")
     return chosen.groupBy("lang", "h").agg(F.first("text").alias("text"))
 
 
@@ -251,7 +274,10 @@ def identify(docs: DataFrame, models: list[Model] | None = None) -> DataFrame:
     the share of the best language when the entropies compete; ``accepted`` is false when
     the entropy is beyond what the language's own calibration rows reach. A text that is
     null or has no letter is ``und`` with score 0; so are all when nothing could be
-    learned. A null id counts as an empty one for the fold.
+    learned. Equal entropies go to the first language by name. A null id counts as an empty
+    one for the fold. Repeated rows are learned from once and each get a row; an empty table
+    gives none; other columns are not read, whatever their names. A text is scored whole
+    in one task, at some 30 bytes a character.
     """
     learned = train(docs) if models is None else models
     shared = docs.sparkSession.sparkContext.broadcast(learned)

@@ -1,4 +1,7 @@
+import math
+import random
 import zlib
+from collections import Counter
 
 import helpers
 import numpy as np
@@ -67,3 +70,59 @@ def test_text_of_no_known_language_is_not_accepted(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in language.identify(docs).collect()}
     assert got[0].accepted and not got[1000].accepted and got[1000].lang_pred == "en"
+
+
+def plain_entropy(trained, text, order=4):
+    """Interpolated Kneser-Ney by its definition, on strings of symbols."""
+    counts = {order: Counter(t[i : i + order] for t in trained for i in range(len(t) - order + 1))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(run[1:] for run in counts[n + 1])
+    discount = {}
+    for n, found in counts.items():
+        once, twice = (sum(c == k for c in found.values()) for k in (1, 2))
+        discount[n] = once / (once + 2 * twice) if once else 0.5
+
+    def p(run):
+        n = len(run)
+        if n == 0:
+            return 1 / (len(counts[1]) + 1)
+        after = [c for r, c in counts[n].items() if r[:-1] == run[:-1]]
+        if not after:
+            return p(run[1:])
+        own = max(counts[n][run] - discount[n], 0) if run in counts[n] else 0.0
+        return own / sum(after) + discount[n] * len(after) / sum(after) * p(run[1:])
+
+    padded = " " * (order - 2) + text
+    runs = [padded[i : i + order] for i in range(len(padded) - order + 1)]
+    return -sum(math.log(p(r)) for r in runs) / len(runs)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_entropy_equals_the_definition(seed):
+    rng = random.Random(seed)
+    texts = [" ".join("".join(rng.choices("abcdé", k=rng.randint(1, 5))) for _ in range(30)) for _ in range(4)]
+    found = [language.symbols(t) for t in texts]
+    model = language.learn("x", found)
+    trained = ["".join(map(chr, f)) for f in found]
+    others = ["abc dab", "zzz a", texts[0], "é"]
+    got = language.cross_entropies([model], [language.symbols(t) for t in others])[:, 0]
+    want = [plain_entropy(trained, "".join(map(chr, language.symbols(t)))) for t in others]
+    assert np.allclose(got, want)
+
+
+def test_every_letter_is_a_letter():
+    table = language._symbol_of()
+    letters = [p for p in range(0x110000) if chr(p).isalpha()]
+    assert not {0, language.SPACE} & set(table[letters].tolist())
+    assert len(language.symbols("\U00020022\U00020022 \U00010021")) == 6
+
+
+def test_languages_that_get_a_model_are_bounded(spark, monkeypatch):
+    """A label of its own in every document brings no table as long as the corpus to the driver."""
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    rows = [(i, f"words of number {'abcdefgh'[i % 8]} here", "en") for i in range(40)]
+    rows += [(100 + i, "mots de la langue", "fr") for i in range(20)] + [(200 + i, f"y{i}", f"junk{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = language.train(docs)
+    assert len(models) == 3 and {"en", "fr"} <= {m.lang for m in models}
+    assert language.identify(docs).count() == len(rows)
