@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import map_batches, schema_of, stashed
+from shelfwise.llm.common import map_batches, schema_of, stashed, written
 
 COMMON_WORDS = 50
 MIN_WORDS = 50
@@ -22,6 +22,8 @@ WORD_NOISE = 2.0
 #: A language of fewer documents or words, in the whole corpus, is no reference.
 REFERENCE_DOCUMENTS = 10
 REFERENCE_WORDS = 2000
+#: References at most, those of the languages with the most words.
+REFERENCES = 1000
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -86,12 +88,20 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
         yield column[i].as_py() or b""
 
 
-def reference(docs: DataFrame, common_words: int = COMMON_WORDS) -> list[dict]:
-    """Character-class counts and the commonest words of every language, over all documents.
-
-    Tasks add up their own documents first. What comes to the driver is one row of class
-    counts and ``common_words`` words per language, whatever the number of documents.
-    ``documents`` is the number of a language's documents.
+def reference(
+    docs: DataFrame,
+    common_words: int = COMMON_WORDS,
+    least_documents: int = 0,
+    least_words: int = 0,
+    most: int = REFERENCES,
+) -> list[dict]:
+    """Character-class counts and the commonest words of languages, over all documents.
+
+    Of languages with ``least_documents`` documents and ``least_words`` words, ``most`` at most, those with
+    the most words. Tasks add up their own documents first. What comes to the driver is
+    one row of class counts and ``common_words`` words for each of these languages, whatever the
+    number of documents and of other values of ``lang``. ``documents`` is the number of a
+    language's documents.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,11 +139,26 @@ def reference(docs: DataFrame, common_words: int = COMMON_WORDS) -> list[dict]:
     known = docs.select("lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    counted = (
+    # Read three times: once for the choice of languages, twice for what they have.
+    counted = written(
         map_batches(known, count, "lang string, kind string, item binary, n long")
         .groupBy("lang", "kind", "item")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n")),
+        "word-counts",
+    )
+
+    def total(kind: str) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+
+    chosen = (
+        counted.groupBy("lang")
+        .agg(total("documents").alias("_documents"), total("word").alias("_words"))
+        .where((F.col("_documents") >= least_documents) & (F.col("_words") >= least_words))
+        .orderBy(F.desc("_words"), "lang")
+        .limit(most)
     )
+    chosen = F.broadcast(written(chosen.select("lang"), "reference-languages"))  # `most` rows
+    counted = counted.join(chosen, "lang")
     rank = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
     kept = counted.withColumn("rank", F.row_number().over(rank))
     rows = (
@@ -157,15 +182,6 @@ def reference(docs: DataFrame, common_words: int = COMMON_WORDS) -> list[dict]:
     return list(found.values())
 
 
-def sound(references: list[dict]) -> list[dict]:
-    """The references with enough documents and words behind them."""
-    return [
-        r
-        for r in references
-        if r["documents"] >= REFERENCE_DOCUMENTS and r["total"] >= REFERENCE_WORDS
-    ]
-
-
 OUTPUT = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "char_distance double, word_distance double, base_failed boolean, kept boolean"
@@ -184,12 +200,15 @@ def assess(
     words in repeated three-word windows. Beyond it, its character-class histogram and
     its histogram over the common words of a language are compared with every language's
     and the nearest language counts, so a wrong or missing ``lang`` does no harm. Only
-    languages with enough text are references (``sound``); documents of others are judged
-    against these. A distance that too few words or a missing reference leave open is null
-    and rejects nothing. A null text is an empty one. Columns of ``docs`` named like a result column
+    languages with enough text are references; documents of others are judged against
+    these. A distance that too few words or a missing reference leave open is null
+    and rejects nothing. A null text is an empty one; repeated rows each get a row and each
+    count for their language; an empty table gives no rows. Columns of ``docs`` named like a result column
     are replaced; all others stay.
     """
-    refs = sound(reference(docs)) if references is None else references
+    refs = references
+    if refs is None:
+        refs = reference(docs, COMMON_WORDS, REFERENCE_DOCUMENTS, REFERENCE_WORDS)
     keep = [c for c in docs.columns if c not in [x.split()[0] for x in OUTPUT.split(", ")]]
     classes = np.array(
         [[r["classes"].get(c.encode(), 0) for c in CLASSES] for r in refs], dtype=float

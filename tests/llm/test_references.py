@@ -13,3 +13,14 @@ def test_junk_with_a_language_of_its_own_is_no_reference(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     kept = {r.doc_id for r in quality.assess(docs).where("kept").collect()}
     assert kept == set(range(30))
+
+
+def test_references_are_bounded(spark):
+    """A language of its own in every document: none is collected, the large ones are."""
+    rows = [(i, f"w{i} and the rest of it", f"l{i}") for i in range(500)]
+    rows += [(1000 + i, "the same words " * 100, "big") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    least = quality.REFERENCE_DOCUMENTS, quality.REFERENCE_WORDS
+    assert [r["lang"] for r in quality.reference(docs, 50, *least)] == ["big"]
+    assert {r["lang"] for r in quality.reference(docs, 50, most=2)} == {"big", "l0"}
+    assert quality.assess(docs).count() == len(rows)
