@@ -210,15 +210,16 @@ def mixed(sized: DataFrame, per_source: DataFrame, block: int = BLOCK) -> DataFr
 
 def taken_words(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
                 most: float = MOST, block: int = BLOCK) -> DataFrame:
-    """``doc_id``, ``size``, ``source_size``, ``target`` and ``taken`` for every row of ``docs``.
+    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` and ``first_slot`` for every row of ``docs``.
 
+    ``first_slot`` is where the schedule first takes words of the row, null if it takes none.
     Null texts and texts without a word have size 0 and are never taken. Null sources form
     one source, the last. Repeated rows are documents of their own.
     """
     sized = sized_documents(docs)
     per_source = written(targets(sized, weights, share, most), "targets")
     took = mixed(sized, per_source, block).groupBy("rid").agg(
-        F.sum(F.col("_to") - F.col("_from")).alias("taken")
+        F.sum(F.col("_to") - F.col("_from")).alias("taken"), F.min("n").alias("first_slot")
     )
     return (
         sized.join(per_source, "_key")
@@ -229,6 +230,7 @@ def taken_words(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
             "source_size",
             "target",
             F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+            "first_slot",
         )
     )
 
@@ -239,6 +241,12 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share:
 
     A document that a pass takes whole keeps its text; of one that the target cuts, the
     words taken are kept, joined by spaces. ``n_chars``, if there, is that of the text.
+
+    Rows are in the order of the schedule: documents are dealt to partitions by a hash, and
+    every partition, and so every file written from it, goes by the first slot of each
+    row. So each stretch of each file mixes the sources by their targets, and the texts
+    need no second shuffle. Null texts and texts without a word are not in the mix, repeated
+    rows are documents of their own, and an empty table gives no rows.
     """
     used = ["doc_id", "source", "text", *(["n_chars"] if "n_chars" in docs.columns else [])]
     stash, back = stashed(docs, *used)
@@ -247,7 +255,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     spans = (
         mixed(sized, per_source, block)
         .groupBy("rid", "_epoch")
-        .agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+        .agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.min("n").alias("_slot"))
     )
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
     begin, count = F.col("_from") + 1, F.col("_to") - F.col("_from")
@@ -257,4 +265,4 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     if "n_chars" in used:
         kind = docs.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.length("text").cast(kind))
-    return rows.select(*back)
+    return rows.sortWithinPartitions("_slot", "rid").select(*back)

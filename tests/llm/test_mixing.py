@@ -81,3 +81,47 @@ def test_every_stretch_of_the_schedule_is_in_proportion(spark):
         for begin in range(0, 5900, 100):
             inside = sum(r._key == key for r in slots[begin : begin + 100])
             assert abs(inside - 100 * share) <= 4
+
+
+def source_order(mix):
+    return [[r.source for r in part] for part in mix.rdd.glom().collect() if part]
+
+
+def test_the_mix_goes_by_the_schedule(spark):
+    """Each stretch of every partition has the sources by their weights."""
+    rows = [(i, " ".join(f"w{i}" for _ in range(20)), "en", "abc"[i % 3], 0) for i in range(1800)]
+    docs = spark.createDataFrame(rows, helpers.DOCS)
+    for part in source_order(mixing.mixed_documents(docs, block=20)):
+        if len(part) < 300:
+            continue
+        whole = {s: part.count(s) / len(part) for s in "abc"}
+        for begin in range(0, len(part) - 100, 100):
+            stretch = part[begin : begin + 100]
+            for s in "abc":
+                assert abs(stretch.count(s) / 100 - whole[s]) < 0.2
+
+
+def test_the_schedule_decides_the_order(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(i, f"a{i} b c d e", "en", "ab"[i % 2], 0) for i in range(300)], helpers.DOCS
+    )
+    forward = [r.doc_id for r in mixing.mixed_documents(docs, block=5).coalesce(1).collect()]
+    slots = {r.doc_id: r.first_slot for r in mixing.taken_words(docs, block=5).collect()}
+    plain = mixing.schedule
+
+    def reversed_schedule(quotas, block):
+        return plain(quotas, block).selectExpr("-n as n", "_key", "_block")
+
+    monkeypatch.setattr(mixing, "schedule", reversed_schedule)
+    backward = [r.doc_id for r in mixing.mixed_documents(docs, block=5).coalesce(1).collect()]
+    assert sorted(forward) == sorted(backward) and forward != backward
+    turned = {r.doc_id: r.first_slot for r in mixing.taken_words(docs, block=5).collect()}
+    assert slots != turned and min(slots.values()) >= 0
+
+
+def test_many_sources_and_clashing_columns(spark):
+    rows = [(i, "one two three " * (1 + i % 3), "en", f"s{i % 150}", 1, 2, "x") for i in range(600)]
+    docs = spark.createDataFrame(rows, helpers.DOCS + ", rid int, _key string")
+    check([(r[0], r[1], r[3]) for r in rows], mixing.taken_words(docs, block=4).collect())
+    mix = mixing.mixed_documents(docs, block=4)
+    assert mix.columns == docs.columns and {(r.rid, r["_key"]) for r in mix.collect()} == {(2, "x")}
