@@ -12,7 +12,7 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -20,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators import kmeans
 from shelfwise.operators.features import matrix_columns
 from shelfwise.operators.split import check_clusterable, check_trainable, with_test_flag
 from shelfwise.schemas import CLUSTER_INPUTS
@@ -182,11 +183,9 @@ def fit_kmeans(
     k: int = CLUSTERS,
     restarts: int = RESTARTS,
     iterations: int = ITERATIONS,
-) -> KMeansModel:
-    """The restart with the lowest cost; ``vectors`` has a column ``scaled``."""
-    kmeans = KMeans(k=k, maxIter=iterations, featuresCol="scaled", predictionCol="cluster_id")
-    fits = (kmeans.setSeed(SEED + i).fit(vectors) for i in range(restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+) -> kmeans.KMeansFit:
+    """The restart with the lowest cost; ``vectors`` has an array column ``scaled``."""
+    return kmeans.fit(vectors, "scaled", k, restarts, iterations, SEED)
 
 
 def nearest_centre(coordinates: list[Column], centres: list[list[float]]) -> Column:
@@ -229,7 +228,6 @@ class Segmenter:
     centres: list[list[float]]
     loadings: list[list[float]]
     variance_share: float
-    kmeans: KMeansModel | None = None
     pca: PCAModel | None = None
 
     def assign(self, df: DataFrame) -> DataFrame:
@@ -251,21 +249,19 @@ def fit_segmenter(
     iterations: int = ITERATIONS,
     components: int = 2,
 ) -> Segmenter:
-    """Scaler, KMeans and PCA on three columns of ``df``; the vectors are cached."""
+    """Scaler, k-means and PCA on three columns of ``df``; the vectors are written once."""
     check_clusterable(df, columns)
     scaler = fit_scaler(df, columns)
-    vectors = df.select(scaler.vector().alias("scaled")).persist()
-    try:
-        kmeans = fit_kmeans(vectors, k, restarts, iterations)
-        pca = PCA(k=components, inputCol="scaled", outputCol="projected").fit(vectors)
-    finally:
-        vectors.unpersist()
+    scaled = F.array(*[scaler.scaled(c) for c in scaler.columns])
+    vectors = written(df.select(scaled.alias("scaled")), "scaled")
+    fitted = fit_kmeans(vectors, k, restarts, iterations)
+    dense = vectors.select(array_to_vector("scaled").alias("scaled"))
+    pca = PCA(k=components, inputCol="scaled", outputCol="projected").fit(dense)
     return Segmenter(
         scaler,
-        [list(map(float, c)) for c in kmeans.clusterCenters()],
+        fitted.centres,
         oriented_loadings(pca),
         float(sum(pca.explainedVariance)),
-        kmeans,
         pca,
     )
 

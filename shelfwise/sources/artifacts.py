@@ -6,7 +6,6 @@ import json
 from dataclasses import asdict, dataclass
 
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import PCAModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +31,6 @@ def _read_text(spark: SparkSession, path: str) -> str:
 def save_models(spark: SparkSession, fitted: Fitted, path: str) -> None:
     seg = fitted.segmenter
     fitted.classifier.model.write().overwrite().save(f"{path}/classifier")
-    seg.kmeans.write().overwrite().save(f"{path}/kmeans")
     seg.pca.write().overwrite().save(f"{path}/pca")
     numbers = {
         "columns": fitted.classifier.columns,
@@ -57,7 +55,6 @@ def load_models(spark: SparkSession, path: str) -> Fitted:
             numbers["centres"],
             numbers["loadings"],
             numbers["variance_share"],
-            KMeansModel.load(f"{path}/kmeans"),
             PCAModel.load(f"{path}/pca"),
         ),
     )

@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
-from shelfwise.operators import features, models, scoring
+from shelfwise.operators import features, kmeans, models, scoring
 from shelfwise.plans import train_score
 from shelfwise.registry.data import catalog_table
 from shelfwise.sources import artifacts
@@ -87,18 +88,50 @@ def test_assignment_equals_the_fitted_models(spark, trained):
     _, t = trained
     seg = t.fitted.segmenter
     mine = seg.assign(t.features)
-    vectors = mine.withColumn("scaled", seg.scaler.vector()).drop("cluster_id")
-    theirs = seg.kmeans.transform(vectors).select("product_id", "cluster_id")
-    assert mine.select("product_id", "cluster_id").exceptAll(theirs).isEmpty()
+    columns = list(seg.scaler.columns)
+    rows = mine.select("cluster_id", *[seg.scaler.scaled(c).alias(c) for c in columns]).toPandas()
+    gaps = rows[columns].to_numpy()[:, None, :] - np.array(seg.centres)[None]
+    assert ((gaps**2).sum(axis=2).argmin(axis=1) == rows["cluster_id"]).all()
     for component in seg.loadings:
         assert max(component, key=abs) > 0
 
 
 def test_restarts_keep_the_lowest_cost(spark, trained):
     _, t = trained
-    vectors = t.features.select(t.fitted.segmenter.scaler.vector().alias("scaled"))
-    one = models.fit_kmeans(vectors, restarts=1).summary.trainingCost
-    assert models.fit_kmeans(vectors, restarts=4).summary.trainingCost <= one + 1e-9
+    scaler = t.fitted.segmenter.scaler
+    scaled = F.array(*[scaler.scaled(c) for c in scaler.columns])
+    vectors = t.features.select(scaled.alias("scaled"))
+    one = models.fit_kmeans(vectors, restarts=1).cost
+    best = models.fit_kmeans(vectors)
+    assert best.cost <= one + 1e-9
+    # Not above the best of as many fits by the library, one after the other.
+    dense = t.features.select(scaler.vector().alias("scaled")).cache()
+    fits = [
+        KMeans(k=3, maxIter=300, featuresCol="scaled", seed=42 + i).fit(dense).summary.trainingCost
+        for i in range(10)
+    ]
+    assert best.cost <= min(fits) * (1 + 1e-9)
+
+
+def test_centres_are_the_means_of_their_points(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(m, 0.3, (80, 2)) for m in ((0, 0), (4, 0), (0, 5), (6, 6))])
+    df = spark.createDataFrame([(p.tolist(),) for p in x], "v array<double>").repartition(5)
+    got = kmeans.fit(df, "v", 4, 5, 300, 1)
+    centres = np.array(got.centres)
+    squares = ((x[:, None] - centres[None]) ** 2).sum(axis=2)
+    own = squares.argmin(axis=1)
+    assert sorted(np.bincount(own)) == [80] * 4
+    assert np.allclose(centres, [x[own == i].mean(axis=0) for i in range(4)])
+    assert got.cost == pytest.approx(squares.min(axis=1).sum())
+
+
+def test_kmeans_of_few_points(spark):
+    df = spark.createDataFrame([([1.0],)] * 7 + [([3.0],), (None,)], "v array<double>")
+    got = kmeans.fit(df, "v", 4, 3, 300, 1)
+    assert got.cost == 0 and {c[0] for c in got.centres} == {1.0, 3.0} and len(got.centres) == 4
+    with pytest.raises(ValueError, match="no rows"):
+        kmeans.fit(df.limit(0), "v", 2, 1, 10, 1)
 
 
 def test_saved_models_score_alike(spark, trained, tmp_path):
