@@ -217,9 +217,20 @@ def usable_cache(cache: DataFrame) -> DataFrame:
     return contracts.valid(contracts.check_enriched(cache))
 
 
+def product_key(*frames: DataFrame) -> Column:
+    """Platform, store and id as one text, of the columns that all ``frames`` have; null-safe."""
+    return F.to_json(F.struct(*[c for c in PRODUCT_KEY if all(c in f.columns for f in frames)]))
+
+
 def split_by_cache(products: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cached records of the products, products still to enrich)."""
-    good = usable_cache(cache)
-    hits = good.join(products.select("product_id").distinct(), "product_id", "left_semi")
-    misses = join_split_hot(products, good.select("product_id"), "product_id", "left_anti")
-    return hits, misses
+    """(cached records of the products, products still to enrich).
+
+    Shops may share ids: products are told apart by platform, store and id, as far as both
+    tables have these.
+    """
+    key = product_key(products, cache)
+    good = usable_cache(cache).withColumn("_key", key)
+    keyed = products.withColumn("_key", key)
+    hits = good.join(keyed.select("_key").distinct(), "_key", "left_semi")
+    misses = join_split_hot(keyed, good.select("_key"), "_key", "left_anti")
+    return hits.drop("_key"), misses.drop("_key")

@@ -44,6 +44,11 @@ class Store:
     def failed_products(self) -> str:
         return f"{self.root}/failed_products"
 
+    @property
+    def waiting(self) -> str:
+        """Products whose call failed, by lot; the next run offers them again."""
+        return f"{self.root}/waiting"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -70,8 +75,9 @@ def enrich_lot(
 ) -> None:
     """Enrich the products of one lot that are not in the table yet.
 
-    Every product is then in the table or, with its reasons, among the errors. A lot writes
-    only its own folders and replaces them, so a repeated lot changes nothing.
+    Every product is then in the table, or waiting because its call failed, or, with its
+    reasons, among the errors: it breaks the contract, or what came back for it does. A lot
+    writes only its own folders and replaces them, so a repeated lot changes nothing.
     """
     spark = batch.sparkSession
     checked = written(contracts.check_products(batch), "checked")
@@ -88,9 +94,20 @@ def enrich_lot(
     )
     same = [F.col(c).eqNullSafe(F.col(f"earlier_{c}")) for c in PRODUCT_KEY]
     misses = products.join(earlier, same, "left_anti")
-    found = enrich(written(misses, "misses"))
+    misses = written(misses, "misses")
+    found = enrich(misses)
     contracts.require_columns(found, PRODUCT_KEY)
-    good, bad = enrichment.split_results(written(found, "lot-results"))
+    found = written(found, "lot-results")
+    if "error" in found.columns:
+        # A failed call says nothing of the product: it waits for the next run.
+        failed = found.where("error is not null").select(
+            *[F.col(c).alias(f"failed_{c}") for c in PRODUCT_KEY], F.col("error")
+        )
+        same = [F.col(c).eqNullSafe(F.col(f"failed_{c}")) for c in PRODUCT_KEY]
+        waiting = misses.join(failed, same).select(*LANDED.names, "error")
+        waiting.write.mode("overwrite").parquet(f"{store.waiting}/lot={lot}")
+        found = found.where("error is null")
+    good, bad = enrichment.split_results(found)
     good.write.mode("overwrite").parquet(f"{store.enriched}/lot={lot}")
     bad.unionByName(broken).write.mode("overwrite").parquet(f"{store.errors}/lot={lot}")
 
@@ -119,6 +136,39 @@ def retry_failed(
             spark.createDataFrame([], LANDED).write.mode("overwrite").parquet(kept)
 
 
+def read_waiting(spark: SparkSession, store: Store) -> DataFrame:
+    """Products whose call failed, with the error and the lot."""
+    schema = T.StructType([*LANDED.fields, *T.StructType.fromDDL("error string, lot bigint").fields])
+    return _read_or_empty(spark, store.waiting, schema)
+
+
+def retry_waiting(
+    spark: SparkSession, store: Store, enrich: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Offer the products whose call failed once more, as a lot of their own.
+
+    Such lots count down from -1, apart from those of the stream. The earlier lots' waiting
+    products are let go only when the new lot is written; a run that is broken off in
+    between offers them again, and what is in the table by then is not enriched twice.
+    """
+    waiting = read_waiting(spark, store)
+    lots = sorted(row["lot"] for row in waiting.select("lot").distinct().collect())
+    if not lots:
+        return
+    taken = read_cache(spark, store).agg(F.min("lot")).first()[0]
+    lot = min(0, lots[0], taken if taken is not None else 0) - 1
+    products = written(waiting.select(*LANDED.names), "waiting")
+    try:
+        enrich_lot(products, lot, store, enrich)
+    except Exception:
+        LOGGER.exception("products that wait failed again")
+        return
+    for done in lots:
+        spark.createDataFrame([], T.StructType([*LANDED.fields, *T.StructType.fromDDL("error string").fields])).write.mode(
+            "overwrite"
+        ).parquet(f"{store.waiting}/lot={done}")
+
+
 def enrich_incremental(
     spark: SparkSession,
     source: str,
@@ -130,7 +180,9 @@ def enrich_incremental(
 
     A lot is the products of up to ``files_per_lot`` files. One that fails is noted under
     ``failed_lots``, its products are kept, and the next run takes it up first. A lot whose
-    products can't be kept ends the run, and the next run reads its files again.
+    products can't be kept ends the run, and the next run reads its files again. A product
+    whose call failed in a lot that went through waits and is offered once more at the
+    start of every run.
     """
 
     def handle(batch: DataFrame, lot: int) -> None:
@@ -143,6 +195,7 @@ def enrich_incremental(
             _note(batch.sparkSession, lot, store, str(problem))
 
     retry_failed(spark, store, enrich)
+    retry_waiting(spark, store, enrich)
     query = (
         spark.readStream.schema(LANDED)
         .option("maxFilesPerTrigger", files_per_lot)

@@ -81,3 +81,46 @@ def test_failed_lot_is_taken_up_again(spark, tmp_path):
         F.col("lot").isNotNull()
     ).count() == 0
     assert incremental.enrich_incremental(spark, str(source), store, enrich).count() == 2
+
+
+def test_products_wait_while_the_service_is_down(spark, tmp_path):
+    """An outage of some calls loses nothing: input = enriched + waiting + errors in every run."""
+    source, store = tmp_path / "in", incremental.Store(str(tmp_path / "out"))
+    down = tmp_path / "down"
+    down.write_text("b")
+
+    def ask(row):
+        if down.exists() and (down.read_text() == "all" or str(row["store"]) in down.read_text()):
+            raise RuntimeError("service down")
+        return answer(row)
+
+    def enrich(products):
+        return enrichment.enrich_with(products, ask, attempts=1)
+
+    land(source, "a.json", [record("a", "1"), record("b", "1"), record(None, "1"), record("b", "2", price=-1.0)])
+    incremental.enrich_incremental(spark, str(source), store, enrich, files_per_lot=1)
+    done = incremental.read_cache(spark, store)
+    assert done.count() == 2 and incremental.read_waiting(spark, store).count() == 1
+    # The service is down altogether, new products come in, old ones stay in line.
+    down.write_text("all")
+    land(source, "b.json", [record("c", "1"), record("b", "1", name="later")])
+    incremental.enrich_incremental(spark, str(source), store, enrich, files_per_lot=1)
+    assert incremental.read_cache(spark, store).count() == 2
+    assert incremental.read_waiting(spark, store).select("store", "product_id").distinct().count() == 2
+    down.unlink()
+    done = incremental.enrich_incremental(spark, str(source), store, enrich, files_per_lot=1)
+    assert sorted(str(r["store"]) for r in done.collect()) == ["None", "a", "b", "c"]
+    assert incremental.read_waiting(spark, store).count() == 0
+    assert keys(spark.read.parquet(store.errors)) == [("b", "2")]
+    assert incremental.enrich_incremental(spark, str(source), store, enrich).count() == 4
+
+
+def test_cache_is_told_apart_by_shop(spark):
+    rows = [("shopify", "a", "1", "x"), ("shopify", "b", "1", "x"), ("shopify", None, "1", "x")]
+    products = spark.createDataFrame(rows, "platform string, store string, product_id string, name string")
+    cached = enrichment.enrich_with(
+        spark.createDataFrame([record("a", "1"), record(None, "1")], incremental.LANDED), answer, attempts=1
+    ).drop("error")
+    hits, misses = enrichment.split_by_cache(products, cached)
+    assert {r["store"] for r in hits.collect()} == {"a", None}
+    assert [r["store"] for r in misses.collect()] == ["b"]
