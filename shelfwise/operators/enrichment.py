@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -150,13 +153,22 @@ def enrich_with(
     wait_seconds: float = 2.0,
     max_wait_seconds: float = 60.0,
     concurrency: int | None = None,
+    in_flight: int = 1,
+    pause_seconds: float = 0.0,
 ) -> DataFrame:
     """Call ``function`` per product; a row that keeps failing gets an ``error``.
 
     The function takes a product as a dict and returns the three enrichment values.
     Platform and store are kept if ``products`` has them.
-    ``concurrency`` bounds the number of tasks, and so the calls in flight.
+
+    A task has up to ``in_flight`` calls open at a time, each in a thread of its own that waits
+    ``pause_seconds`` before it; they end in any order. A new call starts when one has ended,
+    also across batches, and no further batch is read while all are open, so a slow service
+    holds the task back instead of filling its memory. Batches are given back whole and in
+    their order. ``concurrency`` bounds the number of tasks: ``concurrency`` x ``in_flight`` calls at most.
     """
+    if in_flight < 1:
+        raise ValueError("in_flight must be >= 1")
     added = ("standardized_category", "short_summary", "extracted_tags")
     shop = [f for f in SHOP.fields if f.name in products.columns]
     schema = T.StructType([*shop, *ENRICHED.fields, T.StructField("error", T.StringType())])
@@ -172,13 +184,34 @@ def enrich_with(
                 time.sleep(min(max_wait_seconds, wait_seconds * 2 ** (attempt - 1)))
         return {}, "no attempt made"
 
+    def paused(row: dict) -> tuple[dict, str | None]:
+        if pause_seconds:
+            time.sleep(pause_seconds)
+        return call(row)
+
+    def answered(batch: pd.DataFrame, out: list[tuple[dict, str | None]]) -> pd.DataFrame:
+        return batch.assign(
+            **{c: [values.get(c) for values, _ in out] for c in added},
+            error=[problem for _, problem in out],
+        )
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [call(row) for row in batch.to_dict("records")]
-            yield batch.assign(
-                **{c: [values.get(c) for values, _ in out] for c in added},
-                error=[problem for _, problem in out],
-            )
+        free = threading.Semaphore(in_flight)
+        started: deque[tuple[pd.DataFrame, list[Future]]] = deque()
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                futures: list[Future] = []
+                for row in batch.to_dict("records"):
+                    free.acquire()
+                    future = pool.submit(paused, row)
+                    future.add_done_callback(lambda _: free.release())
+                    futures.append(future)
+                started.append((batch, futures))
+                while started and all(f.done() for f in started[0][1]):
+                    batch, futures = started.popleft()
+                    yield answered(batch, [f.result() for f in futures])
+            for batch, futures in started:
+                yield answered(batch, [f.result() for f in futures])
 
     rows = products.select(*names)
     if concurrency is not None:
