@@ -62,6 +62,30 @@ def test_ranks_of_wide_ranges(spark, values):
     assert middle == ordered[-1]
 
 
+@pytest.mark.parametrize("most", [50_000, 40])
+def test_ranks_in_two_passes_or_by_bins(spark, monkeypatch, most):
+    """A few values between two of the grid are counted one by one, many in bins; both are exact."""
+    monkeypatch.setattr(quantiles, "MOST_VALUES", most)
+    reads = []
+    counted = quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *a: reads.append(a) or counted(*a))
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.lognormal(0, 3, 20_000), np.full(10_000, 1.5), -rng.random(5000)])
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(values)], "v double").repartition(6)
+    ranks = [0, 1, 4999, 5000, 17_000, 26_250, 34_998, 34_999, 35_000]
+    got = quantiles.kth_values(df, {f"r{r}": (F.col("v"), r) for r in ranks}, bins=64)
+    ordered = np.sort(values)
+    assert [got[f"r{r}"] for r in ranks] == [*(ordered[r] for r in ranks[:-1]), None]
+    assert len(reads) == 1 if most == 50_000 else len(reads) > 1
+
+
+def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(quantiles._Profile, "bracket", lambda self, rank: (self.grid[400], self.grid[450]))
+    df = spark.range(2000).select(F.col("id").cast("double").alias("v"))
+    got = quantiles.kth_values(df, {"a": (F.col("v"), 3), "b": (F.col("v"), 1999)})
+    assert got == {"a": 3.0, "b": 1999.0}
+
+
 CATALOG = (
     "product_id string, price string, promotional_price string, rating string,"
     "review_count string, stock_status string, standardized_category string"
