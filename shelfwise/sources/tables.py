@@ -10,6 +10,7 @@ from shelfwise.operators import contracts
 from shelfwise.operators.baskets import KEPT_RULES, top_rules
 from shelfwise.operators.report import SHOWN_RULES, shown_rules
 from shelfwise.schemas import ENRICHED, PRODUCT, RULE, SCORED
+from shelfwise.sources.json_arrays import read_elements
 
 # Columns read as numbers from a result file.
 NUMERIC_RESULTS = (
@@ -34,11 +35,7 @@ def _records(spark: SparkSession, path: str, layout: str) -> DataFrame:
         return spark.read.text(path).select(F.col("value").alias("raw"))
     if layout != "array":
         raise ValueError(f"unknown layout {layout!r}")
-    whole = spark.read.text(path, wholetext=True)
-    not_arrays = whole.where(~F.ltrim("value").startswith("["))
-    if not not_arrays.isEmpty():
-        raise ValueError(f"expected a JSON array in every file of {path}")
-    return whole.select(F.explode(F.from_json("value", "array<string>")).alias("raw"))
+    return read_elements(spark, path)
 
 
 def _objects(records: DataFrame) -> DataFrame:
