@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from shelfwise.operators import features, quantiles, split
+from shelfwise.operators import features, quantiles, sparse, split
 from shelfwise.registry import query
 from shelfwise.registry.data import CATALOG, FILLED, catalog, catalog_table, prepared, table
 from shelfwise.schemas import TAXONOMY
@@ -265,3 +266,24 @@ dealt as (
 def stratified_split(spark, sf):
     rows = written(prepared(spark, sf)[0].select("product_id", "is_top_product"), "labels")
     return split.with_test_flag(rows, "is_top_product")
+
+
+@query(
+    "sparse_one_hot",
+    """with v as (
+      select lower(value) as value, row_number() over (order by lower(value)) - 1 as n
+      from (select distinct lower(p_name) as value from part))
+    select cast(p_partkey as varchar) as product_id, lower(p_name) as name, n as active_index,
+           (select count(*) from v) as vector_size
+    from part join v on v.value = lower(p_name)""",
+)
+def sparse_one_hot(spark, sf):
+    products = table(spark, sf, "part", "p_partkey", "p_name").withColumn("name", F.col("p_name"))
+    vocabulary = sparse.fit_vocabulary(products, ["p_name"])
+    entries = vector_to_array("p_name_vector")
+    return sparse.one_hot_vectors(products, vocabulary, ["p_name"]).select(
+        F.col("p_partkey").cast("string").alias("product_id"),
+        F.lower("name").alias("name"),
+        (F.array_position(entries, 1.0) - 1).alias("active_index"),
+        F.size(entries).cast("bigint").alias("vector_size"),
+    )
