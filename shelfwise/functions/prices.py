@@ -16,7 +16,7 @@ def amount(text: Column) -> Column:
 
 def unreadable(text: Column) -> Column:
     """True for a text that is present but no number."""
-    return F.nullif(text, F.lit("")).isNotNull() & amount(text).isNull()
+    return (text != "") & text.try_cast("double").isNull() & text.isNotNull()
 
 
 def _filled(text: Column) -> Column:
@@ -51,16 +51,14 @@ def shopify_price(variants: Column) -> tuple[Column, Column]:
     The lowest compare-at price is the list price when it lies above the lowest price;
     the lowest price is then the promotion.
     """
-    current = F.coalesce(
-        F.array_min(F.transform(variants, lambda v: v["price"])), F.lit(0.0)
-    )
-    compare = F.array_min(F.transform(variants, lambda v: v["compare_at_price"]))
+    current = F.coalesce(F.array_min(variants["price"]), F.lit(0.0))
+    compare = F.array_min(variants["compare_at_price"])
     reduced = F.coalesce(compare > current, F.lit(False))
     return F.when(reduced, compare).otherwise(current), F.when(reduced, current)
 
 
 def shopify_in_stock(variants: Column) -> Column:
-    return F.exists(variants, lambda v: v["available"])
+    return F.array_contains(variants["available"], F.lit(True))
 
 
 def shopify_bad_amount(raw: Column) -> Column:
@@ -88,23 +86,31 @@ def woo_mixed_variants(raw: Column) -> Column:
 
 
 def _woo_variant_amounts(v: Column, unit: Column) -> tuple[Column, Column]:
+    """(price, regular price, null where there is none)."""
     price = F.coalesce(
         amount(F.coalesce(_filled(v["price"]), v["prices"]["price"])) / unit, F.lit(0.0)
     )
-    regular = F.coalesce(
-        amount(F.coalesce(_filled(v["regular_price"]), v["prices"]["regular_price"]))
-        / unit,
-        price,
+    regular = (
+        amount(F.coalesce(_filled(v["regular_price"]), v["prices"]["regular_price"])) / unit
     )
     return price, regular
 
 
 def woo_variants(raw: Column, minor_unit_digits: int = 2) -> Column:
-    """Normalise parsed variations, none if missing; amounts are in minor units."""
+    """Normalise parsed variations, none if missing; amounts are in minor units.
+
+    Amounts are read in a pass of their own: nothing inside a lambda is evaluated only
+    once, and each is used several times.
+    """
     unit = F.lit(float(10**minor_unit_digits))
 
-    def normalise(v: Column) -> Column:
+    def read(v: Column) -> Column:
         price, regular = _woo_variant_amounts(v, unit)
+        return F.struct(v.alias("v"), price.alias("price"), regular.alias("regular"))
+
+    def normalise(found: Column) -> Column:
+        v, price = found["v"], found["price"]
+        regular = F.coalesce(found["regular"], price)
         return F.struct(
             F.coalesce(v["id"], F.lit("")).alias("variant_id"),
             F.coalesce(v["name"], F.lit("")).alias("title"),
@@ -115,7 +121,8 @@ def woo_variants(raw: Column, minor_unit_digits: int = 2) -> Column:
             F.coalesce(v["is_in_stock"], F.lit(True)).alias("available"),
         )
 
-    return F.transform(F.coalesce(raw, F.array().cast(T.ArrayType(WOO_VARIANT))), normalise)
+    parsed = F.coalesce(raw, F.array().cast(T.ArrayType(WOO_VARIANT)))
+    return F.transform(F.transform(parsed, read), normalise)
 
 
 def woo_price(product: Column, minor_unit_digits: int = 2) -> tuple[Column, Column]:

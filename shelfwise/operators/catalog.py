@@ -26,9 +26,14 @@ _ORIGIN = ("platform", "store", "page", "pos")
 
 def _parsed(raw: DataFrame, schema: T.StructType, not_null: Iterable[str]) -> DataFrame:
     """The payload fields as ``p``; ``keys`` lists the keys present if one of the fields
-    ``not_null`` is null, so that few payloads are read a second time."""
-    p = F.col("p")
-    suspicious = reduce(lambda a, b: a | b, [p[field].isNull() for field in not_null])
+    ``not_null`` is null though its name is in the text, as it is or perhaps in escapes, so
+    that few payloads are read a second time."""
+    p, raw_text = F.col("p"), F.col("raw")
+    escaped = raw_text.contains("\\u")
+    suspicious = reduce(
+        lambda a, b: a | b,
+        [p[f].isNull() & (raw_text.contains(f'"{f}"') | escaped) for f in not_null],
+    )
     return raw.withColumn("p", F.from_json("raw", schema)).withColumn(
         "keys", F.when(suspicious, F.json_object_keys("raw"))
     )
@@ -36,7 +41,8 @@ def _parsed(raw: DataFrame, schema: T.StructType, not_null: Iterable[str]) -> Da
 
 def _null_in_payload(field: str) -> Column:
     """True if the key is there but holds JSON null (an absent key is fine)."""
-    return F.col("p")[field].isNull() & F.array_contains("keys", field)
+    listed = F.coalesce(F.array_contains("keys", field), F.lit(False))
+    return F.col("p")[field].isNull() & listed
 
 
 def map_shopify(raw: DataFrame) -> DataFrame:

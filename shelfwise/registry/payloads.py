@@ -116,8 +116,12 @@ def _shopify_parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _exploded(df: DataFrame) -> DataFrame:
-    return df.select("product_id", F.posexplode("variants").alias("ord", "v")).select(
-        "product_id", F.col("ord").cast("bigint").alias("ord"), "v.*"
+    """One row per variant. A plain generator would first filter on the size of its array,
+    below the projections, and so make and parse every payload twice."""
+    return (
+        df.select("product_id", F.posexplode_outer("variants").alias("ord", "v"))
+        .where("ord is not null")
+        .select("product_id", F.col("ord").cast("bigint").alias("ord"), "v.*")
     )
 
 
