@@ -1,30 +1,27 @@
 """Products whose activity grows, week by week, from a stream of dated records.
 
-Every product holds its open weeks as state. A week is closed by an event-time timer, once
-a record of a week has come that begins ``late`` days or more after its end; its counts
-are then final and go to the table of closed weeks. Weeks still open are read from the
-state itself.
+Every product and week is an entry of a streaming aggregate. A week is closed by the
+watermark, once a record of a week has come that begins ``late`` days or more after its end;
+its counts are then final and go to the table of closed weeks. Weeks still open are read
+from the state itself.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from shelfwise.session import scratch_path
+from shelfwise.session import scratch_path, written
 
 TOP = 5
 LATE_DAYS = 14
-_DAY_MS = 86_400_000
-_STATE = "weeks array<bigint>, records array<bigint>, cents array<bigint>, last bigint, last_records bigint"
+_DAY_US = 86_400_000_000
 
 
 def week_number(at: Column) -> Column:
@@ -51,12 +48,12 @@ def partial_counts(records: DataFrame, key: str, at: str, value: str) -> DataFra
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums = pa.table(batch).group_by(["product", "week"]).aggregate([([], "count_all"), ("cents", "sum")])
-            ends = [(w + 1) * 7 * _DAY_MS * 1000 for w in sums["week"].to_pylist()]
+            ends = pc.multiply(pc.add(sums["week"], 1), 7 * _DAY_US)
             yield from pa.table(
                 {
                     "product": sums["product"],
                     "week": sums["week"],
-                    "week_end": pa.array(ends, pa.timestamp("us", "UTC")),
+                    "week_end": ends.cast(pa.timestamp("us", "UTC")),
                     "records": sums["count_all"],
                     "cents": sums["cents_sum"],
                 }
@@ -67,83 +64,33 @@ def partial_counts(records: DataFrame, key: str, at: str, value: str) -> DataFra
     )
 
 
-def _week_end_ms(week: int) -> int:
-    return (week + 1) * 7 * _DAY_MS
-
-
-def advance(
-    key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Add a product's new counts to its open weeks and give the weeks that are closed now.
-
-    A product that has had no record for a week after its last closed one is forgotten.
-    """
-    records, cents = Counter(), Counter()
-    last, last_records = -1, 0
-    if state.exists:
-        weeks, known, known_cents, last, last_records = state.get
-        records.update(dict(zip(weeks, known, strict=True)))
-        cents.update(dict(zip(weeks, known_cents, strict=True)))
-    for frame in frames:
-        for week, n, c in zip(frame["week"], frame["records"], frame["cents"], strict=True):
-            records[int(week)] += int(n)
-            cents[int(week)] += int(c)
-    mark = state.getCurrentWatermarkMs()
-    out = []
-    for week in sorted(records):
-        if _week_end_ms(week) <= mark:
-            n = records.pop(week)
-            previous = last_records if last == week - 1 else 0
-            out.append((key[0], week, n, cents.pop(week), previous))
-            last, last_records = week, n
-    if out:
-        yield pd.DataFrame(out, columns=["product", "week", "records", "cents", "previous"])
-    left = sorted(records)
-    # Without an open week the last closed one is needed until the week after it is over.
-    until = left[0] if left else last + 1
-    if not left and _week_end_ms(until) <= mark:
-        if state.exists:
-            state.remove()
-        return
-    state.update((left, [records[w] for w in left], [cents[w] for w in left], last, last_records))
-    state.setTimeoutTimestamp(_week_end_ms(until) - 1)
-
-
 def closed_weeks(partial: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
-    """A stream of (``product``, ``week``, ``records``, ``cents``, ``previous``), each once, when it is final.
+    """A stream of (``product``, ``week_end``, ``records``, ``cents``), each once, when it is final.
 
+    Every product and week is one entry of the state, added up without a call per product.
     Counts of a week that is closed are late and dropped.
     """
     return (
         partial.withWatermark("week_end", f"{late_days + 7} days")
-        .groupBy("product")
-        .applyInPandasWithState(
-            advance,
-            "product string, week bigint, records bigint, cents bigint, previous bigint",
-            _STATE,
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
+        .groupBy("product", "week_end")
+        .agg(F.sum("records").alias("records"), F.sum("cents").alias("cents"))
     )
 
 
 def open_weeks(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The same columns for the weeks that the state of a stream still holds open."""
     state = spark.read.format("statestore").load(checkpoint)
-    s = state.select(F.col("key.product").alias("product"), "value.groupState.*")
-    rows = s.select(
-        "product", "last", "last_records", F.posexplode(F.arrays_zip("weeks", "records", "cents")),
-        F.col("weeks"), F.col("records").alias("all_records"),
-    )
-    week, at = F.col("col.weeks"), F.col("pos")
-    before_week = F.when(at > 0, F.get("weeks", at - 1)).otherwise(F.col("last"))
-    before = F.when(at > 0, F.get("all_records", at - 1)).otherwise(F.col("last_records"))
-    return rows.select(
-        "product",
-        week.alias("week"),
-        F.col("col.records").alias("records"),
-        F.col("col.cents").alias("cents"),
-        F.when(before_week == week - 1, before).otherwise(F.lit(0)).alias("previous"),
+    # Both sums have the same name in the state: they are told apart by their places.
+    sums = F.col("value").cast("struct<records: bigint, cents: bigint>").alias("sums")
+    return state.select("key.product", "key.week_end", sums).select("product", "week_end", "sums.*")
+
+
+def with_previous(weeks: DataFrame) -> DataFrame:
+    """Add ``previous``, the product's records in the week before, 0 without any."""
+    before = Window.partitionBy("product").orderBy("week")
+    follows = F.lag("week").over(before) == F.col("week") - 1
+    return weeks.withColumn(
+        "previous", F.when(follows, F.lag("records").over(before)).otherwise(F.lit(0))
     )
 
 
@@ -208,9 +155,14 @@ def run_emerging(
     query.awaitTermination()
     done = spark.read.schema(closed.schema).parquet(f"{path}/closed")
     is_open = F.lit(True).alias("is_open")
-    weeks = done.withColumn("is_open", F.lit(False)).union(
+    both = done.withColumn("is_open", F.lit(False)).union(
         open_weeks(spark, f"{path}/checkpoint").select("*", is_open)
     )
+    week = (week_number(F.col("week_end")) - 1).alias("week")
+    weeks = with_previous(both.select("product", week, "records", "cents", "is_open")).select(
+        "product", "week", "records", "cents", "previous", "is_open"
+    )
+    weeks = written(weeks, "product-weeks")
     counted = weeks.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
     dated = spark.read.schema(schema).parquet(source).where(F.col(at).isNotNull())
     return Emerging(weeks, top_growing(weeks, top), dated.count() - counted)
