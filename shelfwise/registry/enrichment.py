@@ -196,13 +196,16 @@ def enrichment_summary(spark, sf):
 def incremental_enrichment(spark, sf):
     """Product files enriched lot by lot; a second run finds nothing new."""
     root = scratch_path(spark, "incremental")
-    tables.write_json(text_products(spark, sf).repartition(3), f"{root}/products")
+    products = text_products(spark, sf)
+    # Three lots at any size; a lot has as many files as keep one file at a split's size.
+    files = max(1, -(-products.rdd.getNumPartitions() // 3))
+    tables.write_json(products.repartition(3 * files), f"{root}/products")
     store = incremental.Store(f"{root}/out")
 
     def enrich(products: DataFrame) -> DataFrame:
         return enrichment.enrich_with(products, _short, attempts=1)
 
-    incremental.enrich_incremental(spark, f"{root}/products", store, enrich, files_per_lot=1)
+    incremental.enrich_incremental(spark, f"{root}/products", store, enrich, files_per_lot=files)
     found = incremental.enrich_incremental(spark, f"{root}/products", store, enrich)
     return found.select("product_id", "price")
 
