@@ -45,6 +45,9 @@ KEYWORDS = {
 MIN_TAGS = 3
 MAX_TAGS = 5
 
+#: Products of a task that are held as dicts at a time.
+HELD_ROWS = 256
+
 
 def term_counts(df: DataFrame, key: str, text: Column) -> DataFrame:
     """(key, term, tf) of every text. Repeated words are counted before the shuffle."""
@@ -164,8 +167,8 @@ def enrich_with(
     A task has up to ``in_flight`` calls open at a time, each in a thread of its own that waits
     ``pause_seconds`` before it; they end in any order. A new call starts when one has ended,
     also across batches, and no further batch is read while all are open, so a slow service
-    holds the task back instead of filling its memory. Batches are given back whole and in
-    their order. ``concurrency`` bounds the number of tasks: ``concurrency`` x ``in_flight`` calls at most.
+    holds the task back instead of filling its memory. Rows are taken and given back by at
+    most ``HELD_ROWS``, in their order. ``concurrency`` bounds the number of tasks: ``concurrency`` x ``in_flight`` calls at most.
     """
     if in_flight < 1:
         raise ValueError("in_flight must be >= 1")
@@ -195,11 +198,16 @@ def enrich_with(
             error=[problem for _, problem in out],
         )
 
+    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), HELD_ROWS):
+                yield batch.iloc[start : start + HELD_ROWS]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         free = threading.Semaphore(in_flight)
         started: deque[tuple[pd.DataFrame, list[Future]]] = deque()
         with ThreadPoolExecutor(in_flight) as pool:
-            for batch in batches:
+            for batch in slices(batches):
                 futures: list[Future] = []
                 for row in batch.to_dict("records"):
                     free.acquire()
