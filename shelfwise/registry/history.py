@@ -8,7 +8,7 @@ from shelfwise.operators import density, history, linkage
 from shelfwise.operators.skew import join_split_hot
 from shelfwise.registry import query
 from shelfwise.registry.data import CATALOG, catalog, table
-from shelfwise.session import scratch_path
+from shelfwise.session import dealt, scratch_path
 from shelfwise.streaming import emerging, trends
 
 
@@ -31,8 +31,10 @@ from shelfwise.streaming import emerging, trends
     from ranked group by 1, 2""",
 )
 def shop_ranking(spark, sf):
+    lines = table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_extendedprice")
+    # The sums and the join with the parts both run on these partitions.
     revenue = (
-        table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_extendedprice")
+        dealt(lines, "l_partkey")
         .groupBy("l_suppkey", "l_partkey")
         .agg(F.round(F.sum("l_extendedprice") * 100).cast("bigint").alias("final_score"))
     )

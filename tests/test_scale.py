@@ -7,6 +7,7 @@ from shelfwise.operators import catalog, enrichment, models
 from shelfwise.registry import enrichment as lots
 from shelfwise.registry import payloads
 from shelfwise.schemas import WOO_PRODUCT
+from shelfwise.session import dealt
 from shelfwise.streaming import emerging
 
 
@@ -81,3 +82,9 @@ def test_emerging_state_needs_no_python(spark):
         F.lit(1).alias("records"), F.lit(2).alias("cents"))
     plan = emerging.closed_weeks(stream)._jdf.queryExecution().analyzed().toString()
     assert "Aggregate" in plan and "InPandasWithState" not in plan
+
+
+def test_partitions_grow_with_the_rows(spark):
+    df = spark.range(100).withColumnRenamed("id", "k")
+    assert dealt(df, "k", rows=5).rdd.getNumPartitions() == 20
+    assert dealt(df, "k").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
