@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Points of a cell that meet one comparison task; a larger cell is split.
 SPLIT = 5_000
+#: Points whose comparisons are one task.
+TASK_POINTS = 10_000
 
 
 def parts() -> Column:
@@ -28,7 +30,12 @@ def around(cell: str, offsets: list[tuple[int, ...]]) -> Column:
 
 
 def compared(probes: DataFrame, near: DataFrame, points: DataFrame) -> DataFrame:
-    """Probes beside all points of the cells around theirs; large cells in several parts."""
+    """Probes beside all points of the cells around theirs; large cells in several parts.
+
+    Points are few bytes for many comparisons: partitions go by their number, not their size.
+    """
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    tasks = max(2 * cores, -(-points.count() // TASK_POINTS))
     salts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     wanted = probes.join(near, "cell").select(*probes.columns, "other", salts)
     other = points.select(
@@ -36,4 +43,5 @@ def compared(probes: DataFrame, near: DataFrame, points: DataFrame) -> DataFrame
         F.pmod(F.xxhash64("point"), "parts").cast("int").alias("part"),
         *(F.col(c).alias(f"_{c}") for c in points.columns if c not in ("cell", "parts")),
     )
-    return wanted.join(other, ["other", "part"])
+    met = ["other", "part"]
+    return wanted.repartition(tasks, *met).join(other.repartition(tasks, *met), met)

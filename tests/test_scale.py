@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from shelfwise.operators import catalog, enrichment, models
+from shelfwise.operators import catalog, cells, enrichment, models
 from shelfwise.registry import enrichment as lots
 from shelfwise.registry import payloads
 from shelfwise.schemas import WOO_PRODUCT
@@ -88,3 +88,13 @@ def test_partitions_grow_with_the_rows(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     assert dealt(df, "k", rows=5).rdd.getNumPartitions() == 20
     assert dealt(df, "k").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_comparisons_of_cells_are_dealt_by_points(spark, monkeypatch):
+    monkeypatch.setattr(cells, "TASK_POINTS", 3)
+    rows = [(i, [i % 7], 1, float(i)) for i in range(60)]
+    points = spark.createDataFrame(rows, "point int, cell array<bigint>, parts int, x double")
+    near = points.select("cell", F.col("cell").alias("other"), "parts").distinct()
+    met = cells.compared(points.select("point", "cell", "x"), near, points)
+    assert met.rdd.getNumPartitions() == 20
+    assert met.count() == sum(1 for a in range(60) for b in range(60) if a % 7 == b % 7)
