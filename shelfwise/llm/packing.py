@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
@@ -17,8 +19,19 @@ from shelfwise.llm.common import map_batches, written
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids a task remembers; beyond, it starts anew.
+#: Words whose ids a task remembers, and pieces of words; beyond, it starts anew.
 WORDS_KEPT = 400_000
+#: How the tokenizer parts a text, and the same on words of ASCII and small or capital
+#: letters of Latin-1, which no composition changes, as bytes, with ASCII lower-cased and
+#: one space between words, which is a piece here.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+_SIMPLE = re.compile(rb"(?:[\x00-\x7f]|" + _LATIN + rb")*")
+_PIECE = re.compile(
+    rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|" + _LATIN + rb")+|[0-9]|[^a-z0-9\x80-\xff ]+| "
+)
+#: Stands for the space between words; no id has these four bytes.
+_SPACE = b"\xff" * 4
 FIT_STEPS = 300
 #: A pattern may leave this part of a sequence empty, one in so many.
 REST = 256
@@ -26,6 +39,19 @@ REST = 256
 SPLITS = (0.5, 0.62, 0.75, 0.88)
 
 
+def _word_ends(path: str, vocabulary: Mapping[str, int]) -> np.ndarray | None:
+    """Whether an id ends a piece, by id; None for a tokenizer that parts texts otherwise."""
+    with open(path, encoding="utf-8") as file:
+        kind = json.load(file)
+    suffix = kind["model"].get("end_of_word_suffix")
+    parts = (kind.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    if not suffix or (parts[0].get("pattern") or {}).get("Regex") != SPLIT:
+        return None
+    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return ends
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Callable[[bytes], bytes]:
     """Text to its ids as little-endian unsigned 32-bit numbers.
@@ -36,11 +62,54 @@ def _encoder(path: str) -> Callable[[bytes], bytes]:
     token could arise from it. The tokenizer composes before it lower-cases, and some small
     letters compose with a mark that the capital does not, so in a text with combining
     marks only words of pure ASCII are.
+
+    It parts words again, into runs of letters, digits and runs of signs, and joins nothing
+    across these. The pieces of a new word are remembered too, and new pieces are encoded
+    in one text: each has one id that ends a word, its last.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    ends = _word_ends(path, tokenizer.get_vocab())
     known: dict[bytes, bytes] = {}
+    known_pieces: dict[bytes, bytes] = {}
+
+    def whole(new: list[bytes]) -> Iterator[bytes]:
+        ids = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        return (pack(f"<{len(e)}I", *e.ids) for e in ids)
+
+    def encode_pieces(new: list[bytes]) -> Iterator[bytes]:
+        text = b" ".join(new).decode()
+        ids = np.array(
+            tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4"
+        )
+        stops = (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
+        if len(stops) != len(new):
+            return whole(new)
+        body = ids.tobytes()
+        return (body[i:j] for i, j in zip([0, *stops], stops, strict=False))
+
+    def learn(new: list[bytes]) -> None:
+        others = []
+        text = b" ".join(new)
+        if ends is None:
+            new, others = [], new
+        elif b"<|" in text or not _SIMPLE.fullmatch(text):
+            simple = {w for w in new if b"<|" not in w and _SIMPLE.fullmatch(w)}
+            others = [w for w in new if w not in simple]
+            new = list(simple)
+            text = b" ".join(new)
+        if new:
+            found = _PIECE.findall(text.lower())
+            if len(known_pieces) > WORDS_KEPT:
+                known_pieces.clear()
+            known_pieces[b" "] = _SPACE
+            if pieces := list(set(found).difference(known_pieces)):
+                known_pieces.update(zip(pieces, encode_pieces(pieces), strict=True))
+            ids = b"".join(map(known_pieces.__getitem__, found)).split(_SPACE)
+            known.update(zip(new, ids, strict=True))
+        if others:
+            known.update(zip(others, whole(others), strict=True))
 
     def encode(body: bytes) -> bytes:
         low = body.lower()
@@ -50,15 +119,9 @@ def _encoder(path: str) -> Callable[[bytes], bytes]:
             words = [x.lower() if x.isascii() and b"<|" not in low else x for x in body.split()]
         if len(known) > WORDS_KEPT:
             known.clear()
-        parts = list(map(known.get, words))
-        if None in parts:
-            new = list({w for w, p in zip(words, parts, strict=True) if p is None})
-            ids = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            known.update(
-                (w, pack(f"<{len(e)}I", *e.ids)) for w, e in zip(new, ids, strict=True)
-            )
-            parts = list(map(known.__getitem__, words))
-        return b"".join(parts)
+        if new := set(words).difference(known):
+            learn(list(new))
+        return b"".join(map(known.__getitem__, words))
 
     return encode
 

@@ -94,3 +94,28 @@ def test_one_length_that_most_pieces_share(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     got = packing.packed(written(packing.token_pieces(docs, PATH, 256), "p"), 256).collect()
     check(rows, got, 256)
+
+
+def test_pieces_of_new_words_are_encoded_once(monkeypatch):
+    real = Tokenizer.from_file(PATH)
+    given = []
+
+    class Counted:
+        get_vocab = staticmethod(real.get_vocab)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return real.encode_batch_fast(texts, **options)
+
+    class Files:
+        from_file = staticmethod(lambda path: Counted())
+
+    words = [f"stra\u00e9en{chr(97 + i)}zug" for i in range(26)]
+    text = " ".join(f"{a}{w.upper()}{b}" for w in words for a in ("", "(", "'") for b in ("", ",", "'s", "7"))
+    whole = text + " \u00e9\u0301 <|endoftext|>, \u6f22\u5b57, x</w>'ll"
+    want = [np.array(real.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in (text, whole)]
+    monkeypatch.setattr("tokenizers.Tokenizer", Files)
+    encode = packing._encoder.__wrapped__(PATH)
+    assert encode(text.encode()) == want[0]
+    assert sum(map(len, given)) < len(text) / 6
+    assert encode(whole.encode()) == want[1]
