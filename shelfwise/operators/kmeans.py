@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.session import written
+from shelfwise.session import evenly_written
 
 #: A restart is done when no centre moves further than this.
 TOLERANCE = 1e-4
@@ -55,6 +55,36 @@ def _batches(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[np.
         yield batch.column("rid").to_numpy(), x
 
 
+def _sums(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Per restart and centre: points, cost (in the first centre's slot) and sums of columns.
+
+    One restart at a time and one column after the other, so that what is computed stays in
+    the processor's cache.
+    """
+    columns = [np.ascontiguousarray(c) for c in x.T]
+    restarts, k, dims = centres.shape
+    out = np.zeros((restarts, k, dims + 2))
+    for r in range(restarts):
+        own = np.zeros(len(x), dtype=np.intp)
+        least = None
+        for j in range(k):
+            squares = np.zeros(len(x))
+            for column, at in zip(columns, centres[r, j], strict=True):
+                gap = column - at
+                gap *= gap
+                squares += gap
+            if least is None:
+                least = squares
+            else:
+                np.putmask(own, squares < least, j)
+                np.minimum(least, squares, out=least)
+        out[r, :, 0] = np.bincount(own, minlength=k)
+        out[r, 0, 1] = least.sum()
+        for i, column in enumerate(columns):
+            out[r, :, 2 + i] = np.bincount(own, column, minlength=k)
+    return out
+
+
 def _drawn(
     points: DataFrame, dims: int, chosen: np.ndarray | None, restarts: int, draws: int, step: int, seed: int
 ) -> dict[tuple[int, int], np.ndarray]:
@@ -171,7 +201,7 @@ def fit(
     if first is None:
         raise ValueError("no rows to cluster")
     dims = first[0]
-    points = written(
+    points = evenly_written(
         rows.select(
             F.monotonically_increasing_id().alias("rid"),
             *(F.col(column)[i].alias(f"x{i}") for i in range(dims)),
@@ -183,18 +213,7 @@ def fit(
     done = 0
 
     def sums(centres: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
-        def add(x: np.ndarray) -> np.ndarray:
-            squares = _squares(x, centres)
-            own = squares.argmin(axis=2)
-            out = np.zeros((len(centres), k, dims + 2))
-            for r in range(len(centres)):
-                out[r, :, 0] = np.bincount(own[:, r], minlength=k)
-                out[r, 0, 1] = squares[np.arange(len(x)), r, own[:, r]].sum()
-                for i in range(dims):
-                    out[r, :, 2 + i] = np.bincount(own[:, r], x[:, i], minlength=k)
-            return out
-
-        return add
+        return lambda x: _sums(x, centres)
 
     while done < iterations and len(moving):
         total = _summed(points, dims, sums(centres[moving]))

@@ -98,3 +98,22 @@ def test_comparisons_of_cells_are_dealt_by_points(spark, monkeypatch):
     met = cells.compared(points.select("point", "cell", "x"), near, points)
     assert met.rdd.getNumPartitions() == 20
     assert met.count() == sum(1 for a in range(60) for b in range(60) if a % 7 == b % 7)
+
+
+def test_points_of_one_file_are_dealt_to_all_cores(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from shelfwise.operators import kmeans
+
+    taken = []
+    real = kmeans._summed
+
+    def summed(points, *rest):
+        taken.append(len(points.select(F.input_file_name()).distinct().collect()))
+        return real(points, *rest)
+
+    monkeypatch.setattr(kmeans, "_summed", summed)
+    df = spark.range(0, 120_000, 1, 1).select(F.array((F.col("id") % 2 * 5.0), F.lit(1.0)).alias("v"))
+    got = kmeans.fit(df, "v", 2, 2, 20, 7)
+    assert set(taken) == {spark.sparkContext.defaultParallelism}
+    assert sorted(got.centres) == [[0.0, 1.0], [5.0, 1.0]] and got.cost == 0.0
