@@ -103,3 +103,24 @@ def test_same_store_name_on_two_platforms(spark):
     capped = catalog.cap_rows(products, 10, stores.select("platform", "store", "store_ord"))
     assert capped.count() == 3
     assert tuple(catalog.ingest_summary(stores, products).first()) == (2, 1, 3)
+
+
+def test_equal_baskets_are_one_row(spark, monkeypatch):
+    sizes = []
+    real = baskets.written
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "bases":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(baskets, "written", counted)
+    found = [("a", "b", "c")] * 40 + [("b", "c")] * 30 + [("c",)] * 30 + [("a", "rare")]
+    rows = [(i, item) for i, basket in enumerate(found) for item in basket]
+    items = spark.createDataFrame(rows, "basket_id int, item string")
+    sets, n = baskets.frequent_itemsets(items, 0.1)
+    assert n == 101 and sizes and max(sizes) <= 4
+    assert {"".join(r["items"]): r["freq"] for r in sets.collect()} == {
+        "a": 41, "b": 70, "c": 100, "ab": 40, "ac": 40, "bc": 70, "abc": 40
+    }
